@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom import fixed_values as fixed
 from riskloom.functions import risk
 from riskloom.functions.patterns import CodeText, folded
+from riskloom.session import settled
 
 # Message texts are data: pass other tables to change wording or language.
 FINDINGS = {
@@ -194,7 +195,7 @@ def decide_pr(df: DataFrame, probability: str = "probability", threshold: float
     """Change-scan decision: any rule, any suspicious pattern, or the score alone."""
     p = risk.reported_probability(F.col(probability))
     found = (F.size("vulnerability_types") > 0) | (F.size("cwe_ids") > 0) | (F.size("suspicious_patterns") > 0)
-    judged = df.withColumns({"probability": p, "_flag": found | (p >= threshold)})
+    judged = settled(df, {}).withColumns({"probability": p, "_flag": found | (p >= threshold)})
     return judged.withColumns(
         {
             "status": F.when(F.col("_flag"), F.lit("VULNERABLE")).otherwise(F.lit("SAFE")),

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup
 from riskloom.schemas import CLEAN
+from riskloom.session import settled
 
 
 def cleaned_columns(df: DataFrame) -> DataFrame:
     """Standard records with cleaned text and numeric label; nothing is dropped yet."""
     label = n.label_of(F.col("is_vulnerable"), df.schema["is_vulnerable"].dataType)
-    return df.withColumns({"raw_code": n.clean_code(F.col("raw_code")), "is_vulnerable": label})
+    return settled(df, {"raw_code": n.clean_code(F.col("raw_code")), "is_vulnerable": label})
 
 
 def usable() -> Column:

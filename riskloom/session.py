@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -59,3 +60,12 @@ def pinned(df: DataFrame, max_rows: int) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns that later filters read.
+
+    Catalyst pushes a filter below the projection it reads from and so computes the projection's
+    expressions a second time. A projection that also reads the task number is left in place.
+    """
+    return df.withColumns({**columns, "_task": F.spark_partition_id()}).filter("_task >= 0").drop("_task")

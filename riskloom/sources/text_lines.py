@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from riskloom import fixed_values as fixed
 from riskloom.functions import normalise as n
 from riskloom.schemas import RAW_LINE
+from riskloom.session import settled
 
 CORRUPT = "_corrupt"
 
@@ -52,7 +53,7 @@ def json_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     lines = with_position(lines).withColumn("value", F.make_valid_utf8("value")).filter(~n.is_blank(F.col("value")))
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return lines.withColumn("r", parsed).select("r.*", "path", "row_pos")
+    return settled(lines, {"r": parsed}).select("r.*", "path", "row_pos")
 
 
 def good_lines(df: DataFrame) -> DataFrame:

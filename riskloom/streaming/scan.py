@@ -31,16 +31,22 @@ def running_summary(details: DataFrame) -> DataFrame:
     )
 
 
-def drop_seen(files: DataFrame, code: str = "code", arrival: str | None = None, horizon: str = "7 days") -> DataFrame:
+def drop_seen(
+    files: DataFrame, code: str = "code", name: str = "filename", arrival: str | None = None, horizon: str = "7 days", salts: int = 8
+) -> DataFrame:
     """Pass each content once.
 
-    Without an arrival time the state grows with the distinct hashes (64 bytes each). With one,
-    hashes older than ``horizon`` are forgotten.
+    A first pass drops repeats per (hash, salt of the name), so copies of one hot content are
+    spread over ``salts`` tasks and at most ``salts`` of them reach the second pass. Without an
+    arrival time the state grows with the distinct hashes; with one, hashes older than
+    ``horizon`` are forgotten.
     """
-    keyed = files.withColumn("code_hash", n.content_key(F.col(code)))
+    salt = F.pmod(F.xxhash64(name), F.lit(salts))
+    keyed = files.withColumns({"code_hash": n.content_key(F.col(code)), "_salt": salt})
     if arrival:
-        return keyed.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark(["code_hash"])
-    return keyed.dropDuplicates(["code_hash"])
+        keyed = keyed.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark(["code_hash", "_salt"])
+        return keyed.dropDuplicatesWithinWatermark(["code_hash"]).drop("_salt")
+    return keyed.dropDuplicates(["code_hash", "_salt"]).dropDuplicates(["code_hash"]).drop("_salt")
 
 
 def write_details(details: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
