@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.fixed_values import SPACE_CHARACTERS
+from riskloom.session import spread
 
 # One of these is appended to each document, so that every rule and pattern has hits and misses.
 SNIPPETS = (
@@ -56,7 +57,8 @@ MESSY_TAILS = (
 
 # --- Spark side -------------------------------------------------------------------------------
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(rows, rows.columns[0]) if name in ("documents", "pages") else rows
 
 
 def pick(values: tuple, index: Column) -> Column:

@@ -7,7 +7,7 @@ costs a few substring searches.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -68,3 +68,11 @@ class CodeText:
 
 def count(code: Column, expression: str) -> Column:
     return F.regexp_count(code, regex(expression)).cast("bigint")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` reads it.
+
+    A lambda body that reads an outer expression would compute it again for each element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.risk import feature_label
@@ -48,20 +48,19 @@ def top_reasons(
             for f, c, m in zip(features, coefficients, means_columns)
         ]
     )
-    rising = F.filter(entries, lambda e: e["order"] < 0)
+    rising = F.filter(F.col("_entries"), lambda e: e["order"] < 0)
     picked = F.transform(F.slice(F.array_sort(rising), 1, top), lambda e: feature_label(e["feature"]))
-    return df.withColumn(name, F.when(F.size(picked) > 0, picked).otherwise(F.array(F.lit(NO_REASON))))
+    chosen = df.withColumn("_entries", entries).withColumn(name, picked).drop("_entries")
+    return chosen.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(NO_REASON))))
 
 
 def top_terms(contributions: DataFrame, key: str, top: int = 3) -> DataFrame:
     """Top terms per document from (key, term, contribution) rows.
 
-    Each document brings at most its own terms. Partial aggregation keeps the ``top`` largest of
-    each map task only.
+    A document brings at most the vocabulary; the rank filter lets each map task pass on only its
+    ``top`` rows per document.
     """
     positive = contributions.filter(F.col("contribution") > 0)
-    from pyspark.sql import Window
-
     order = Window.partitionBy(key).orderBy(F.desc("contribution"), "term")
     ranked = positive.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
     return ranked.select(key, "place", feature_label(F.col("term")).alias("term"), "contribution")

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.patterns import let
+
 WORD_2 = r"(?U)\b\w\w+\b"
 WORD_1 = r"(?U)\b\w+\b"
 
@@ -55,14 +57,14 @@ def plain_words(text: Column) -> Column:
 
 def word_ngrams(tokens: Column, low: int, high: int) -> Column:
     """N-grams of ``low`` to ``high`` words, shorter ones first."""
-    def grams(n: int) -> Column:
+    def grams(words: Column, n: int) -> Column:
         if n == 1:
-            return tokens
-        starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-        joined = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + (k - 1)) for k in range(n)]))
-        return F.when(F.size(tokens) >= n, joined).otherwise(F.array().cast("array<string>"))
+            return words
+        starts = F.sequence(F.lit(0), F.size(words) - n)
+        joined = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
+        return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*[grams(n) for n in range(low, high + 1)])
+    return let(tokens, lambda words: F.concat(*[grams(words, n) for n in range(low, high + 1)]))
 
 
 def char_ngrams(text: Column, low: int, high: int) -> Column:
@@ -70,13 +72,11 @@ def char_ngrams(text: Column, low: int, high: int) -> Column:
 
     A look-ahead group yields all n-grams of one length in a single pass over the text.
     """
+    def grams(squeezed: Column, n: int) -> Column:
+        return F.regexp_extract_all(squeezed, F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % n), F.lit(1))
+
     squeezed = F.regexp_replace(F.lower(text), r"(?U)\s\s+", " ")
-    return F.concat(
-        *[
-            F.regexp_extract_all(squeezed, F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % n), F.lit(1))
-            for n in range(low, high + 1)
-        ]
-    )
+    return let(squeezed, lambda t: F.concat(*[grams(t, n) for n in range(low, high + 1)]))
 
 
 def boundary_ngrams(text: Column, low: int, high: int) -> Column:
@@ -100,28 +100,24 @@ def boundary_ngrams(text: Column, low: int, high: int) -> Column:
     return F.flatten(F.transform(padded, grams))
 
 
-def with_term_counts(df: DataFrame, terms: str, name: str = "counts") -> DataFrame:
-    """Add ``array<struct<term, tf>>``: sorted terms, cut into runs. No shuffle."""
-    ordered = df.withColumn("_sorted", F.sort_array(terms))
-    at = lambda i: F.get(F.col("_sorted"), i)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("_sorted") - 1), lambda i: (i == 0) | (at(i) != F.coalesce(at(i - 1), F.lit("")))
-    )
-    empty = F.array().cast("array<int>")
-    found = ordered.withColumn("_starts", F.when(F.size("_sorted") > 0, starts).otherwise(empty))
-    counted = F.transform(
-        F.col("_starts"),
-        lambda start, k: F.struct(
-            at(start).alias("term"),
-            (F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted")) - start).cast("bigint").alias("tf"),
-        ),
-    )
-    return found.withColumn(name, counted).drop("_sorted", "_starts")
+def term_counts(terms: Column) -> Column:
+    """``array<struct<term, tf>>`` of a term array: the terms are sorted and cut into runs."""
+    def runs(ordered: Column) -> Column:
+        new = lambda i: (i == 0) | (F.get(ordered, i) != F.coalesce(F.get(ordered, i - 1), F.lit("")))
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), new)
+        return let(starts, lambda found: F.transform(found, lambda start, k: entry(ordered, found, start, k)))
+
+    def entry(ordered: Column, found: Column, start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(found, k + 1), F.size(ordered))
+        return F.struct(F.get(ordered, start).alias("term"), (end - start).cast("bigint").alias("tf"))
+
+    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
+    return let(F.sort_array(terms), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)).otherwise(empty))
 
 
 def term_statistics(df: DataFrame, terms: str) -> DataFrame:
     """(term, total_count, doc_count) over the corpus."""
-    counted = with_term_counts(df.select(terms), terms).select(F.inline("counts"))
+    counted = df.select(F.inline(term_counts(F.col(terms))))
     return counted.groupBy("term").agg(F.sum("tf").alias("total_count"), F.count(F.lit(1)).alias("doc_count"))
 
 

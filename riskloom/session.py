@@ -69,3 +69,12 @@ def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     expressions a second time. A projection that also reads the task number is left in place.
     """
     return df.withColumns({**columns, "_task": F.spark_partition_id()}).filter("_task >= 0").drop("_task")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores, before costly text work.
+
+    A scan of many splits, as any large table gives, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
