@@ -13,14 +13,16 @@ import unicodedata
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import (
     CountVectorizerModel, HashingTF, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer, StandardScaler,
-    StringIndexer, VectorAssembler,
+    StringIndexer, VectorAssembler, VectorSizeHint,
 )
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom import fixed_values as fixed
 from riskloom.functions.patterns import let
+from riskloom.operators.features import language_one_hot, structure
 
 WORD_2 = r"(?U)\b\w\w+\b"
 WORD_1 = r"(?U)\b\w+\b"
@@ -228,3 +230,30 @@ def feature_pipeline(buckets: int = 2**18, categories: tuple[str, ...] = ("langu
             VectorAssembler(inputCols=["hashed", *[c + "_onehot" for c in categories], "numbers"], outputCol="features"),
         ]
     )
+
+
+class SyntacticFeatures:
+    """N-gram weights, structural counts and language flags of a text as one ``features`` vector."""
+
+    def __init__(self, tfidf: TfidfModel, ngrams: tuple[int, int]):
+        self.tfidf, self.ngrams = tfidf, ngrams
+
+    @classmethod
+    def fit(cls, df: DataFrame, max_features: int = 3000, ngrams: tuple[int, int] = (1, 2), min_df: int = 1, max_df: float = 1.0, sublinear: bool = False):
+        terms = df.select(word_ngrams(words(F.col("raw_code")), *ngrams).alias("_terms"))
+        return cls(fit_tfidf(terms, "_terms", max_features, min_df, max_df, sublinear), ngrams)
+
+    @property
+    def names(self) -> list[str]:
+        return [*(f"tfidf__{term}" for term in self.tfidf.terms), *STRUCTURE_NAMES, *LANGUAGE_FLAGS]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        counted = language_one_hot(structure(df.withColumn("_terms", word_ngrams(words(F.col("raw_code")), *self.ngrams))))
+        weighted = self.tfidf.vectors(counted, "_terms", "_tfidf")
+        sized = VectorSizeHint(inputCol="_tfidf", size=len(self.tfidf.terms)).transform(weighted)
+        assembler = VectorAssembler(inputCols=["_tfidf", *STRUCTURE_NAMES, *LANGUAGE_FLAGS], outputCol="features")
+        return assembler.transform(sized).drop("_terms", "_tfidf", *STRUCTURE_NAMES, *LANGUAGE_FLAGS)
+
+
+STRUCTURE_NAMES = ("ast_node_count", "ast_max_depth", "ast_pointer_ops", "ast_function_calls", "ast_loops", "ast_if_statements")
+LANGUAGE_FLAGS = (*(f"lang_{name}" for name in fixed.ONE_HOT_LANGUAGES), "lang_other")
