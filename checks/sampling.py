@@ -47,9 +47,7 @@ def _splits():
 SELECT doc_id, {_splits()}, CASE WHEN rk <= round(n * 0.1) THEN 'test' WHEN rk <= round(n * 0.1) + round(n * 0.1) THEN 'valid' ELSE 'train' END AS split,
   substr(h, 1, 8) < '40000000' AS test_by_hash FROM r""")
 def spl_04(spark, sf):
-    rows = v.labelled(spark, sf)
-    for f in (0.25, 0.2, 0.1):
-        rows = sampling.stratified_split(rows, "doc_id", f, flag=f"test_{round(f * 100)}")
+    rows = sampling.stratified_flags(v.labelled(spark, sf), "doc_id", {"test_25": 0.25, "test_20": 0.2, "test_10": 0.1})
     rows = sampling.three_way_split(rows, "doc_id")
     rows = sampling.stratified_split(rows, "doc_id", 0.25, exact=False, flag="test_by_hash")
     return rows.select("doc_id", "test_25", "test_20", "test_10", "split", "test_by_hash")

@@ -101,8 +101,7 @@ def jn_01(spark, sf):
 
 @case("jn_02_attach_weakness", f"""WITH {v.CORPUS}, {RULES} SELECT DISTINCT doc_id, rule_family, cwe_id, mitigation FROM corpus JOIN rules ON regexp_matches(raw_code, pattern)""")
 def jn_02(spark, sf):
-    hits = rules.match_rules(v.corpus(spark, sf)).select("doc_id", "rule_family").distinct()
-    return rules.attach_weakness(hits).select("doc_id", "rule_family", "cwe_id", "mitigation")
+    return rules.attach_weakness(rules.match_families(v.corpus(spark, sf))).select("doc_id", "rule_family", "cwe_id", "mitigation")
 
 
 SIGNAL_ROWS = ", ".join(f"({v.q(name)}, {v.q(p)})" for name, p, _ in fixed.DANGEROUS)

@@ -290,7 +290,7 @@ def snk_05(spark, sf):
     rows = v.documents(spark, sf).withColumns({"code_length": n.char_length(text()), "line_count": n.nonblank_lines(text())})
     labels = v.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("is_vulnerable"))
     estimator = modelling.model_pipeline(modelling.logistic(maxIter=10), buckets=2**12)
-    model = estimator.fit(balanced_weights(rows.join(labels, "doc_id")))
+    model = modelling.fit(estimator, balanced_weights(rows.join(labels, "doc_id")))
     path = shared_dir(spark, "model")
     sinks.save_model(model, path)
     before = modelling.score(model, rows).select("doc_id", F.col("probability").alias("p1"))

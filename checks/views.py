@@ -113,7 +113,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 def metric_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Module metrics from line items, as text, with some invalid spellings."""
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    base = table(spark, sf, "lineitem")
+    base = spread(table(spark, sf, "lineitem"), "l_orderkey")
     return base.select(
         F.col("l_orderkey"),
         F.col("l_linenumber"),

@@ -68,9 +68,9 @@ def cumulative_counts(scores: DataFrame) -> DataFrame:
     """
     grid = F.array(*[F.lit(i / CURVE_SLICES) for i in range(1, CURVE_SLICES)])
     bounds = scores.agg(F.percentile_approx("score", grid, 10_000)).scalar()
-    sliced = scores.withColumn("_bounds", bounds).withColumn(
-        "_slice", F.size(F.filter("_bounds", lambda b: b < F.col("score")))
-    ).drop("_bounds")
+    # The place of a score among the sorted bounds: one more than the number of bounds below it.
+    placed = F.array_position(F.sort_array(F.array_append(bounds, F.col("score"))), F.col("score"))
+    sliced = scores.withColumn("_slice", placed)
     totals = sliced.groupBy("_slice").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -55,6 +55,21 @@ def model_pipeline(classifier: Estimator, buckets: int = 2**18) -> Pipeline:
     return Pipeline(stages=[*feature_pipeline(buckets).getStages(), classifier])
 
 
+def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
+    """Fit the feature stages, write the vectors once, then run the iterative fit on that table.
+
+    Each pass of an optimiser then reads a plain scan: no text is tokenised twice, and a lost
+    executor costs a re-read instead of a recomputation.
+    """
+    *before, classifier = pipeline.getStages()
+    if not before:
+        return pipeline.fit(df)
+    features = Pipeline(stages=before).fit(df)
+    wanted = [LABEL, WEIGHT, "features", *(c for c in ("is_valid", "fold") if c in df.columns)]
+    vectors = staged(features.transform(df).select(*wanted), "vectors")
+    return PipelineModel([*features.stages, classifier.fit(vectors)])
+
+
 def probability_of(scored: DataFrame) -> Column:
     """Probability of class 1; for margins without one, the sigmoid of the margin."""
     if "probability" in scored.columns:
@@ -72,7 +87,11 @@ def score(model: Transformer, df: DataFrame, threshold: float = fixed.DECISION_T
 
 
 def report(scored: DataFrame, digits: int = 4) -> DataFrame:
-    """One row with accuracy, precision, recall, F1, AUC and the confusion counts."""
+    """One row with accuracy, precision, recall, F1, AUC and the confusion counts.
+
+    The scores are written first: the curve reads them several times, and scoring is costly.
+    """
+    scored = staged(scored.select(LABEL, "probability", "prediction"), "scores")
     auc = evaluate.roc_auc(scored, digits=digits).scalar()
     return evaluate.metrics(scored, digits).withColumn("roc_auc", auc)
 
@@ -101,7 +120,7 @@ def cross_validated_f1(estimator: Pipeline, df: DataFrame, key: str, k: int = 5,
     folded = folds(df, key, k, seed)
     results = None
     for i in range(k):
-        model = estimator.fit(folded.filter(F.col("fold") != i))
+        model = fit(estimator, folded.filter(F.col("fold") != i))
         part = evaluate.metrics(score(model, folded.filter(F.col("fold") == i)), None).select(F.lit(i).alias("fold"), "f1")
         results = part if results is None else results.unionByName(part)
     return results
@@ -109,11 +128,11 @@ def cross_validated_f1(estimator: Pipeline, df: DataFrame, key: str, k: int = 5,
 
 def two_stage_fit(first: Pipeline, second: Pipeline, train: DataFrame, alpha: float = 0.75, gamma: float = 2.0) -> PipelineModel:
     """Fit, turn the training scores into focal weights, fit again on those weights."""
-    base = first.fit(weighting.balanced_weights(train))
+    base = fit(first, weighting.balanced_weights(train))
     scored = score(base, train)
     # The weights depend on a whole fitted model: writing them cuts that lineage for the refit.
     weighted = staged(weighting.focal_weights(scored, alpha=alpha, gamma=gamma).drop("probability", "prediction"), "focal-weights")
-    return second.fit(weighted)
+    return fit(second, weighted)
 
 
 WEIGHTINGS = {
@@ -133,7 +152,7 @@ def compare_models(models: Mapping[str, Pipeline], train: DataFrame, test: DataF
             if loss == "focal":
                 model = two_stage_fit(first or pipeline, pipeline, train)
             else:
-                model = pipeline.fit(WEIGHTINGS[loss](train))
+                model = fit(pipeline, WEIGHTINGS[loss](train))
             measured = report(score(model, test)).select(
                 F.lit(name).alias("model"), F.lit(loss).alias("loss_type"), "accuracy", "precision", "recall", "f1", "roc_auc"
             )
@@ -146,4 +165,4 @@ def refit(estimator: Pipeline, *parts: DataFrame) -> PipelineModel:
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return estimator.fit(weighting.balanced_weights(whole))
+    return fit(estimator, weighting.balanced_weights(whole))

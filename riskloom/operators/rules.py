@@ -100,6 +100,12 @@ def match_rules(df: DataFrame, code: str = "raw_code", keep: Sequence[str] = ("d
     )
 
 
+def match_families(df: DataFrame, code: str = "raw_code", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """One row per (document, matching rule family), made distinct inside the row."""
+    families = F.array_distinct(F.transform(rule_hits(F.col(code), lowered=F.col("_lowered")), lambda hit: hit["rule_family"]))
+    return df.withColumn("_lowered", folded(F.col(code))).select(*keep, F.explode(families).alias("rule_family"))
+
+
 def match_rule_table(df: DataFrame, rules: DataFrame, code: str, keep: Sequence[str], max_rules: int = 2000) -> DataFrame:
     """``match_rules`` for rules that arrive as a table ``(rule_id, pattern)`` of checked size."""
     rows = rules.select("rule_id", "pattern").limit(max_rules + 1).collect()

@@ -8,13 +8,14 @@ shuffled: rows are compared with the cut of their group.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import pinned
 
+Quota = Callable[[Column], Column]
 SLICES = 4096
 MAX_PINNED_GROUPS = 20_000
 
@@ -43,10 +44,10 @@ def _suffixed(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({key: key + suffix for key in keys})
 
 
-def cuts(df: DataFrame, keys: Sequence[str], order: str, quota: Callable[[Column], Column]) -> DataFrame:
-    """(keys, cut, group_rows, quota): the order value of the ``quota``-th row of each group.
+def cuts(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Quota]) -> DataFrame:
+    """(keys, name, cut): per group and named quota, the order value of the quota's last row.
 
-    ``quota`` maps the group's row count to the wanted number; where that is 0 the cut is null.
+    A quota maps the group's row count to the wanted number; where that is 0 there is no cut.
     ``order`` is a hex hash or a whole number.
     """
     keys = list(keys) or ["_all"]
@@ -62,25 +63,29 @@ def cuts(df: DataFrame, keys: Sequence[str], order: str, quota: Callable[[Column
     counted = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys)
     running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.withColumns({"_upto": F.sum("_n").over(running), "_rows": F.sum("_n").over(group)})
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), quota(F.col("_rows")).cast("bigint").alias("q")) for name, quota in quotas.items()])
     placed = (
-        counted.withColumns({"_upto": F.sum("_n").over(running), "group_rows": F.sum("_n").over(group)})
-        .withColumn("quota", F.least(quota(F.col("group_rows")).cast("bigint"), F.col("group_rows")))
-        .filter((F.col("_upto") - F.col("_n") < F.col("quota")) & (F.col("quota") <= F.col("_upto")))
+        summed.select(*keys, "_slice", (F.col("_upto") - F.col("_n")).alias("_before"), "_upto", "_rows", F.inline(wanted))
+        .withColumn("q", F.least("q", "_rows"))
+        .filter((F.col("_before") < F.col("q")) & (F.col("q") <= F.col("_upto")))
     )
-    targets = _suffixed(pinned(placed, MAX_PINNED_GROUPS), [*keys, "_slice"], "_t")
+    targets = _suffixed(pinned(placed.select(*keys, "_slice", "_before", "name", "q"), MAX_PINNED_GROUPS), [*keys, "_slice"], "_t")
     inside = sliced.join(targets, _matches([*keys, "_slice"], "_t"))
-    ranked = inside.withColumn("_rank", F.row_number().over(group.orderBy("_order")))
-    hit = ranked.filter(F.col("_rank") == F.col("quota") - (F.col("_upto") - F.col("_n")))
-    return hit.select(*keys, F.col("_order").alias("cut"), "group_rows", "quota")
+    place = F.row_number().over(Window.partitionBy(*keys, "name").orderBy("_order"))
+    hit = inside.withColumn("_place", place).filter(F.col("_place") == F.col("q") - F.col("_before"))
+    return hit.select(*keys, "name", F.col("_order").alias("cut"))
 
 
-def below_cut(df: DataFrame, keys: Sequence[str], order: str, quota: Callable[[Column], Column], flag: str) -> DataFrame:
-    """Add ``flag``: whether the row is among the first ``quota`` rows of its group."""
+def below_cut(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Quota]) -> DataFrame:
+    """Add one flag per quota: whether the row is among the first rows of its group."""
     names = list(keys) or ["_all"]
-    table = _suffixed(pinned(cuts(df, keys, order, quota).select(*names, "cut"), MAX_PINNED_GROUPS), names, "_c")
+    per_group = [F.max(F.when(F.col("name") == flag, F.col("cut"))).alias(f"_cut_{flag}") for flag in quotas]
+    table = cuts(df, keys, order, quotas).groupBy(*names).agg(*per_group)
+    table = _suffixed(pinned(table, MAX_PINNED_GROUPS), names, "_c")
     joined = df.withColumn("_all", F.lit(0)).join(table, _matches(names, "_c"), "left")
-    chosen = F.coalesce(F.col(order) <= F.col("cut"), F.lit(False))
-    return joined.withColumn(flag, chosen).drop("_all", "cut", *[key + "_c" for key in names])
+    flags = {flag: F.coalesce(F.col(order) <= F.col(f"_cut_{flag}"), F.lit(False)) for flag in quotas}
+    return joined.withColumns(flags).drop("_all", *[f"_cut_{flag}" for flag in quotas], *[key + "_c" for key in names])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame:
@@ -89,7 +94,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> Da
     ``order`` may repeat for rows that stem from one raw record; such a record is kept whole, so
     the cap may overshoot as it does in the cleaner.
     """
-    return below_cut(df, keys, order, lambda rows: F.lit(limit), "_keep").filter("_keep").drop("_keep")
+    return below_cut(df, keys, order, {"_keep": lambda rows: F.lit(limit)}).filter("_keep").drop("_keep")
 
 
 def class_balanced_cap(df: DataFrame, limit: int, order: str, label: str = "is_vulnerable", keys: Sequence[str] = ("source",)) -> DataFrame:
@@ -104,23 +109,28 @@ def balanced_undersample(df: DataFrame, key: str, cap: int = 500, seed: int = 42
     return first_rows(ordered, [label], "_order", int(sizes)).drop("_order")
 
 
+def stratified_flags(df: DataFrame, key: str, fractions: Mapping[str, float], seed: int = 42, label: str = "is_vulnerable") -> DataFrame:
+    """One flag per fraction for the first ``round(f * n)`` rows of each class in hash order."""
+    ordered = df.withColumn("_order", hash_order(F.col(key), seed))
+    quotas = {flag: (lambda rows, f=f: F.round(rows * f)) for flag, f in fractions.items()}
+    return below_cut(ordered, [label], "_order", quotas).drop("_order")
+
+
 def stratified_split(
     df: DataFrame, key: str, test_fraction: float, seed: int = 42, label: str = "is_vulnerable", exact: bool = True, flag: str = "is_test"
 ) -> DataFrame:
     """Mark the test rows. Exact: ``round(f * n)`` of each class. Otherwise a map-only threshold."""
-    ordered = df.withColumn("_order", hash_order(F.col(key), seed))
     if exact:
-        return below_cut(ordered, [label], "_order", lambda rows: F.round(rows * test_fraction), flag).drop("_order")
-    return ordered.withColumn(flag, in_fraction(F.col("_order"), test_fraction)).drop("_order")
+        return stratified_flags(df, key, {flag: test_fraction}, seed, label)
+    return df.withColumn(flag, in_fraction(hash_order(F.col(key), seed), test_fraction))
 
 
 def three_way_split(df: DataFrame, key: str, valid: float = 0.1, test: float = 0.1, seed: int = 42, label: str = "is_vulnerable") -> DataFrame:
     """Stratified train / valid / test in one ``split`` column."""
     ordered = df.withColumn("_order", hash_order(F.col(key), seed))
-    tested = below_cut(ordered, [label], "_order", lambda rows: F.round(rows * test), "_test")
-    marked = below_cut(tested, [label], "_order", lambda rows: F.round(rows * test) + F.round(rows * valid), "_held")
+    quotas = {"_test": lambda rows: F.round(rows * test), "_held": lambda rows: F.round(rows * test) + F.round(rows * valid)}
     split = F.when(F.col("_test"), F.lit("test")).when(F.col("_held"), F.lit("valid")).otherwise(F.lit("train"))
-    return marked.withColumn("split", split).drop("_order", "_test", "_held")
+    return below_cut(ordered, [label], "_order", quotas).withColumn("split", split).drop("_order", "_test", "_held")
 
 
 def group_split(df: DataFrame, group: str, test_fraction: float, seed: int = 42, exact: bool = False, flag: str = "is_test") -> DataFrame:
@@ -133,8 +143,8 @@ def group_split(df: DataFrame, group: str, test_fraction: float, seed: int = 42,
     if not exact:
         return ordered.withColumn(flag, in_fraction(F.col("_order"), test_fraction)).drop("_order")
     groups = ordered.select("_order").distinct()
-    cut = cuts(groups, [], "_order", lambda rows: F.ceil(rows * test_fraction)).select("cut").scalar()
-    return ordered.withColumn(flag, F.col("_order") <= cut).drop("_order")
+    cut = cuts(groups, [], "_order", {flag: lambda rows: F.ceil(rows * test_fraction)}).select("cut").scalar()
+    return ordered.withColumn(flag, F.coalesce(F.col("_order") <= cut, F.lit(False))).drop("_order")
 
 
 def folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:

@@ -221,13 +221,18 @@ def scaled_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def feature_pipeline(buckets: int = 2**18, categories: tuple[str, ...] = ("language", "source"), numbers: tuple[str, ...] = ("code_length", "line_count")) -> Pipeline:
-    """Hashed text, categories and numbers assembled into ``features``."""
+    """Hashed text, categories and numbers assembled into ``features``.
+
+    The assembler names every slot in the column's metadata. With 2^18 hash buckets that is tens
+    of megabytes in each plan, and the slots of a hash mean nothing, so the names are left behind.
+    """
     return Pipeline(
         stages=[
             *hashing_stages("raw_code", "hashed", buckets),
             *category_stages(list(categories)),
             *numeric_stages(list(numbers), "numbers"),
-            VectorAssembler(inputCols=["hashed", *[c + "_onehot" for c in categories], "numbers"], outputCol="features"),
+            VectorAssembler(inputCols=["hashed", *[c + "_onehot" for c in categories], "numbers"], outputCol="assembled"),
+            SQLTransformer(statement="SELECT * EXCEPT (assembled), coalesce(assembled, assembled) AS features FROM __THIS__"),
         ]
     )
 

@@ -53,9 +53,9 @@ def train(clean: DataFrame, estimator: Pipeline | None = None, seed: int = 42) -
     table = staged(clean, "clean")
     parts = split_corpus(table, seed=seed)
     estimator = estimator or modelling.model_pipeline(modelling.logistic())
-    calibrated = modelling.score(estimator.fit(balanced_weights(parts.fit)), parts.valid)
+    calibrated = modelling.score(modelling.fit(estimator, balanced_weights(parts.fit)), parts.valid)
     threshold = evaluate.best_threshold(evaluate.threshold_sweep(calibrated)).first()["threshold"]
-    fitted = estimator.fit(balanced_weights(parts.train))
+    fitted = modelling.fit(estimator, balanced_weights(parts.train))
     scored = staged(modelling.score(fitted, parts.test, threshold).drop("raw_code"), "test-scores")
     baseline = profile.majority_baseline(scored)
     report = evaluate.target_check(modelling.report(scored)).withColumns(

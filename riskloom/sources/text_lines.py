@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -34,10 +35,11 @@ def with_position(df: DataFrame) -> DataFrame:
 
     17 bits file, 20 bits megabyte of the split, 26 bits row inside the task.
     """
-    files = sorted(df.inputFiles())
+    # Local paths are listed as file:///x but reported per row as file:/x.
+    files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
     ranks = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)] or [("", 0)], "_file string, _rank long")
     block = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    located = df.select("*", F.col("_metadata.file_path").alias("path"), block.alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    located = df.select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"), block.alias("_block"), F.monotonically_increasing_id().alias("_id"))
     row = F.col("_id").bitwiseAND(F.lit((1 << 26) - 1))
     joined = located.join(F.broadcast(ranks), located["path"] == ranks["_file"], "left")
     position = F.shiftleft(F.col("_rank"), 46) + F.shiftleft(F.col("_block"), 26) + row
