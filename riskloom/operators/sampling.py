@@ -9,6 +9,7 @@ shuffled: rows are compared with the cut of their group.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,10 +35,7 @@ def in_fraction(order: Column, fraction: float) -> Column:
 
 
 def _matches(keys: Sequence[str], suffix: str) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(key + suffix))
-    return condition
+    return reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(key + suffix)) for key in keys])
 
 
 def _suffixed(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
@@ -50,16 +48,18 @@ def cuts(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Qu
     A quota maps the group's row count to the wanted number; where that is 0 there is no cut.
     ``order`` is a hex hash or a whole number.
     """
-    keys = list(keys) or ["_all"]
-    narrow = df.withColumn("_all", F.lit(0)).select(*keys, F.col(order).alias("_order"))
+    keys = list(keys)
+    narrow = df.select(*keys, F.col(order).alias("_order"))
     if dict(narrow.dtypes)["_order"] == "string":
         sliced = narrow.withColumn("_slice", F.substring("_order", 1, 3))
     else:
         spans = narrow.groupBy(*keys).agg(F.min("_order").alias("_low"), F.max("_order").alias("_high"))
-        spans = _suffixed(pinned(spans, MAX_PINNED_GROUPS), keys, "_s")
+        if keys:
+            spanned = narrow.join(_suffixed(pinned(spans, MAX_PINNED_GROUPS), keys, "_s"), _matches(keys, "_s"))
+        else:
+            spanned = narrow.withColumns({name: spans.select(name).scalar() for name in ("_low", "_high")})
         width = (F.col("_high") - F.col("_low")) / F.lit(SLICES) + 1
-        sliced = narrow.join(spans, _matches(keys, "_s")).withColumn("_slice", F.floor((F.col("_order") - F.col("_low")) / width))
-        sliced = sliced.select(*keys, "_order", "_slice")
+        sliced = spanned.select(*keys, "_order", F.floor((F.col("_order") - F.col("_low")) / width).alias("_slice"))
     counted = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys)
     running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -79,13 +79,14 @@ def cuts(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Qu
 
 def below_cut(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Quota]) -> DataFrame:
     """Add one flag per quota: whether the row is among the first rows of its group."""
-    names = list(keys) or ["_all"]
     per_group = [F.max(F.when(F.col("name") == flag, F.col("cut"))).alias(f"_cut_{flag}") for flag in quotas]
-    table = cuts(df, keys, order, quotas).groupBy(*names).agg(*per_group)
-    table = _suffixed(pinned(table, MAX_PINNED_GROUPS), names, "_c")
-    joined = df.withColumn("_all", F.lit(0)).join(table, _matches(names, "_c"), "left")
+    table = pinned(cuts(df, keys, order, quotas).groupBy(*keys).agg(*per_group), MAX_PINNED_GROUPS)
+    if keys:
+        joined = df.join(_suffixed(table, keys, "_c"), _matches(keys, "_c"), "left")
+    else:
+        joined = df.withColumns({f"_cut_{flag}": table.select(f"_cut_{flag}").scalar() for flag in quotas})
     flags = {flag: F.coalesce(F.col(order) <= F.col(f"_cut_{flag}"), F.lit(False)) for flag in quotas}
-    return joined.withColumns(flags).drop("_all", *[f"_cut_{flag}" for flag in quotas], *[key + "_c" for key in names])
+    return joined.withColumns(flags).drop(*[f"_cut_{flag}" for flag in quotas], *[key + "_c" for key in keys])
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame:

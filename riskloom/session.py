@@ -13,12 +13,17 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Start from many shuffle partitions (set spark.sql.shuffle.partitions to the shuffled bytes
+    # over this size); adaptive execution merges the small ones.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     # Source texts run from a few bytes to 200 000 characters, so read splits are kept
     # at 64 MB of compressed Parquet: a regex stage then holds a few hundred MB per task.
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app: str = "riskloom", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -38,8 +43,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_FOLDERS.get(app) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        _LOCAL_FOLDERS[app] = root
     return os.path.join(root, "-".join([*parts, uuid.uuid4().hex[:12]]))
 
 
@@ -51,15 +57,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def pinned(df: DataFrame, max_rows: int) -> DataFrame:
-    """Turn a small aggregate into a local relation, whose size the planner knows exactly.
+    """A small aggregate as a broadcast table, after counting its rows.
 
-    The size is checked: past ``max_rows`` the frame is returned as it is, and joins on it
-    stay shuffle joins that adaptive execution may split.
+    Past ``max_rows`` the frame is returned as it is, and joins on it stay shuffle joins that
+    adaptive execution may split.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:

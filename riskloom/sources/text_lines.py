@@ -16,6 +16,7 @@ from riskloom.schemas import RAW_LINE
 from riskloom.session import settled
 
 CORRUPT = "_corrupt"
+MAX_BROADCAST_FILES = 500_000
 
 
 def readable(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
@@ -33,16 +34,17 @@ def readable(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
 def with_position(df: DataFrame) -> DataFrame:
     """Add ``path`` and ``row_pos``, a number that follows the order of sorted paths and lines.
 
-    17 bits file, 20 bits megabyte of the split, 26 bits row inside the task.
+    22 bits file, 17 bits megabyte of the split, 24 bits row inside the task.
     """
     # Local paths are listed as file:///x but reported per row as file:/x.
     files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
     ranks = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)] or [("", 0)], "_file string, _rank long")
     block = F.shiftright(F.col("_metadata.file_block_start"), 20)
     located = df.select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"), block.alias("_block"), F.monotonically_increasing_id().alias("_id"))
-    row = F.col("_id").bitwiseAND(F.lit((1 << 26) - 1))
-    joined = located.join(F.broadcast(ranks), located["path"] == ranks["_file"], "left")
-    position = F.shiftleft(F.col("_rank"), 46) + F.shiftleft(F.col("_block"), 26) + row
+    row = F.col("_id").bitwiseAND(F.lit((1 << 24) - 1))
+    ranks = F.broadcast(ranks) if len(files) <= MAX_BROADCAST_FILES else ranks
+    joined = located.join(ranks, located["path"] == ranks["_file"], "left")
+    position = F.shiftleft(F.col("_rank"), 41) + F.shiftleft(F.col("_block"), 24) + row
     return joined.withColumn("row_pos", position).drop("_file", "_rank", "_block", "_id")
 
 
