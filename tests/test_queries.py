@@ -7,6 +7,9 @@ from checks.registry import ORACLE, QUERIES
 from checks.run import TABLES, compare
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     con = duckdb.connect()
@@ -19,6 +22,8 @@ def con(sf):
 def test_query_agrees_with_sql(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
     rows = [tuple(r) for r in df.collect()]
+    described = {row[0]: row[1] for row in con.execute("DESCRIBE " + ORACLE[name]).fetchall()}
+    assert {column: TYPES[kind] for column, kind in df.dtypes} == described
     result = con.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert compare(df.columns, rows, columns, result.fetchall()) == ""
