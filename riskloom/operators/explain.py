@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.risk import feature_label
@@ -54,6 +57,31 @@ def top_reasons(
     return chosen.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(NO_REASON))))
 
 
+def vector_reasons(
+    df: DataFrame, names: Sequence[str], coefficients: Sequence[float], means: Sequence[float] | None = None, top: int = 3,
+    column: str = "features", name: str = "reasons",
+) -> DataFrame:
+    """``top_reasons`` for a feature vector of a fitted linear model.
+
+    Names, coefficients and means have one entry per slot of the model, so they travel as literals.
+    """
+    if means is None:
+        means = df.agg(Summarizer.mean(F.col(column)).alias("m")).first()["m"].toArray()
+
+    def literal(values: Sequence, kind: str) -> Column:
+        return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+    labels = literal(list(names), "string")
+    weights, centres = literal([float(c) for c in coefficients], "double"), literal([float(m) for m in means], "double")
+    entries = F.transform(
+        vector_to_array(column),
+        lambda x, i: F.struct((-(F.get(weights, i) * (x - F.get(centres, i)))).alias("order"), F.get(labels, i).alias("feature")),
+    )
+    rising = F.slice(F.array_sort(F.filter(entries, lambda e: e["order"] < 0)), 1, top)
+    picked = df.withColumn(name, F.transform(rising, lambda e: feature_label(e["feature"])))
+    return picked.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(NO_REASON))))
+
+
 def top_terms(contributions: DataFrame, key: str, top: int = 3) -> DataFrame:
     """Top terms per document from (key, term, contribution) rows.
 

@@ -27,10 +27,15 @@ def scored(df: DataFrame, model: Transformer) -> DataFrame:
     return score(model, model_inputs(df)).drop("prediction")
 
 
-def scan(df: DataFrame, model: Transformer | None = None, threshold: float = fixed.DECISION_THRESHOLD) -> DataFrame:
-    """Prediction per file. Without a model, ``df`` must bring a ``probability`` column."""
+def scan(
+    df: DataFrame, model: Transformer | None = None, threshold: float = fixed.DECISION_THRESHOLD, reasons: str | None = None
+) -> DataFrame:
+    """Prediction per file. Without a model, ``df`` must bring a ``probability`` column.
+
+    ``reasons`` names an array column with the features behind the score, as ``explain`` adds it.
+    """
     rated = scored(df, model) if model is not None else df
-    return rules.decide(rules.code_findings(rated), threshold=threshold)
+    return rules.decide(rules.code_findings(rated), reasons=reasons, threshold=threshold)
 
 
 def scan_changes(

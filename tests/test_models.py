@@ -61,3 +61,20 @@ def test_parameter_draws_are_repeatable():
     draws = modelling.parameter_draws(grid, 4)
     assert draws == modelling.parameter_draws(grid, 4) and len({tuple(d.items()) for d in draws}) == 4
     assert len(modelling.parameter_draws(grid, 10)) == 6
+
+
+def test_vector_reasons_against_numpy(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from riskloom.operators import explain
+
+    matrix = np.array([[3.0, 0.0, 1.0, 0.0], [0.0, 2.0, 0.0, 5.0], [1.0, 1.0, 1.0, 1.0], [0.0, 0.0, 0.0, 0.0]])
+    weights, names = np.array([1.0, -2.0, 0.5, 0.25]), ["tfidf__a", "b", "ast__ast_c", "d"]
+    df = spark.createDataFrame([(i, Vectors.dense(row)) for i, row in enumerate(matrix)], ["i", "features"])
+    got = [r.reasons for r in explain.vector_reasons(df, names, weights).orderBy("i").collect()]
+    shown = ["a", "b", "ast_c", "d"]
+    for row, reasons in zip(matrix, got):
+        gain = weights * (row - matrix.mean(axis=0))
+        expected = [shown[k] for k in np.argsort(-gain, kind="stable")[:3] if gain[k] > 0]
+        assert reasons == (expected or [explain.NO_REASON])
