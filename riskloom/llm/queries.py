@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import quality, secrets, toxicity
+from riskloom.llm import decontaminate, packing, quality, secrets, tokens, toxicity, vptree
+
+
+VOCABULARY = 49_408  # ids of word_bpe_49k.json
+
+
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """Path of an installed vocabulary file; executors have the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -15,13 +25,32 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(tokens.token_counts(table(spark, sf, "documents"), tokenizer(), by_word=True))
+
+
 def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return vptree.search_all(table(spark, sf, "embeddings"))
+
+
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf, "documents"), tokenizer(), VOCABULARY, by_word=True)
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_quality_classifier, op9_toxicity)}
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op6_nearest_neighbours, op7_token_files, op9_toxicity, op10_decontamination)
+}
 ORACLE: dict[str, str] = {}

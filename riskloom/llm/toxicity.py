@@ -1,8 +1,9 @@
 """Toxicity by character n-grams scaled with naive Bayes log-count ratios.
 
 N-grams of three to nine bytes (odd sizes) of the lower-cased text fall into hashed buckets. A bucket's
-ratio is the log of its share among toxic texts over its share among clean texts, counted over all labelled
-training rows. A logistic model over presence times ratio is then fitted on a bounded sample of labelled rows.
+ratio is the log of its share among toxic texts over its share among clean texts. A logistic model over presence
+times ratio is then fitted. Both are learnt from a bounded sample of labelled rows, ``MAX_ROWS`` of each class at
+most; scores cover every document.
 
 Defined results: null and empty texts have no n-grams and get the score of the constant; without labels of both
 classes all scores are 0.5; repeated rows count as often as they occur; other columns are ignored.
@@ -24,8 +25,8 @@ from riskloom.session import staged
 BITS = 20
 BUCKETS = 1 << BITS
 SIZES = (3, 5, 7, 9)
-# At most so many labelled rows of each class are fitted, those with the smallest hashes of doc_id.
-MAX_ROWS = 3000
+# At most so many labelled rows of each class are learnt from, those with the smallest hashes of doc_id.
+MAX_ROWS = 6000
 # Pseudo-texts added to each class, equally likely in both.
 SMOOTH = 2.0
 # Ratios nearer to zero than this say little about the class and are taken as zero.
@@ -98,7 +99,7 @@ def _ratios(rows: DataFrame) -> np.ndarray | None:
     return ratios
 
 
-def _sample(rows: DataFrame, limit: int, ratios: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def _sample(rows: DataFrame, ratios: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Label and distinct buckets of the training sample."""
     shared = rows.sparkSession.sparkContext.broadcast(ratios != 0)  # fixed size
 
@@ -109,8 +110,7 @@ def _sample(rows: DataFrame, limit: int, ratios: np.ndarray) -> list[tuple[int,
             cut = [found[a:b].astype(np.int32).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(cut, pa.binary())], ["toxic", "found"])
 
-    chosen = [rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit) for label in (0, 1)]
-    out = chosen[0].unionByName(chosen[1]).select("text", "toxic").mapInArrow(run, "toxic int, found binary").collect()
+    out = rows.select("text", "toxic").mapInArrow(run, "toxic int, found binary").collect()  # bounded by MAX_ROWS
     return [(r.toxic, np.frombuffer(r.found, np.int32)) for r in out]
 
 
@@ -139,13 +139,10 @@ def _logistic(sample: list[tuple[int, np.ndarray]], ratios: np.ndarray, steps: i
     return Model(weights, float(b))
 
 
-def fit(rows: DataFrame, limit: int = MAX_ROWS) -> Model:
-    """Fit on rows of doc_id, text and toxic (0 or 1)."""
+def fit(rows: DataFrame) -> Model:
+    """Fit on a bounded, written table of text and toxic (0 or 1)."""
     ratios = _ratios(rows)
-    if ratios is None:
-        return Model(np.zeros(BUCKETS), 0.0)
-    sample = _sample(rows, limit, ratios)
-    return _logistic(sample, ratios) if {label for label, _ in sample} == {0, 1} else Model(np.zeros(BUCKETS), 0.0)
+    return Model(np.zeros(BUCKETS), 0.0) if ratios is None else _logistic(_sample(rows, ratios), ratios)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -169,16 +166,23 @@ def training_fold(folds: int = 5, held_out: int = 0) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds != held_out
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of the labelled rows of the training folds; repeated labels of a document count once."""
-    known = labels.filter("toxic in (0, 1)").filter(training_fold()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(known, "doc_id")
+def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_ROWS) -> DataFrame:
+    """text and toxic of at most ``limit`` labelled rows of each class in the training folds.
+
+    A document with several labels counts once, as toxic if any says so. The chosen labels are broadcast, as their
+    number is bounded; texts are not shuffled.
+    """
+    known = labels.filter("doc_id is not null and toxic in (0, 1)").filter(training_fold()).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
+        F.max("toxic").cast("int").alias("toxic")
+    )
+    first, second = [known.filter(F.col("toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(limit) for label in (0, 1)]
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(first.unionByName(second)), "_id").select("text", "toxic")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of each document."""
-    rows = staged(labelled(docs, labels), "toxic-training")
+    rows = staged(training_rows(docs, labels), "toxic-training")
     return scored(docs, fit(rows)).select(
         "doc_id", (~training_fold()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
