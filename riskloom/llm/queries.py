@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, packing, quality, secrets, tokens, toxicity, vptree
+from riskloom.llm import decontaminate, packing, quality, repeats, secrets, tokens, toxicity, vptree
 
 
 VOCABULARY = 49_408  # ids of word_bpe_49k.json
@@ -41,6 +41,10 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.round_trip(table(spark, sf, "documents"), tokenizer(), VOCABULARY, by_word=True)
 
 
+def op8_repeated_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -51,6 +55,6 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op6_nearest_neighbours, op7_token_files, op9_toxicity, op10_decontamination)
+    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op6_nearest_neighbours, op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination)
 }
 ORACLE: dict[str, str] = {}

@@ -27,7 +27,7 @@ from riskloom.session import staged
 LEAF = 128
 SHARD_ROWS = 16_384
 BLOCK_QUERIES = 4096
-FACTOR = 0.6
+FACTOR = 1.0
 
 
 class Tree:
