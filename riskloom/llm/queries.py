@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, packing, quality, repeats, secrets, tokens, toxicity, vptree
+from riskloom.llm import decontaminate, jaccard, packing, quality, repeats, secrets, tokens, toxicity, vptree
 
 
 VOCABULARY = 49_408  # ids of word_bpe_49k.json
@@ -33,6 +33,10 @@ def op4_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return vptree.search_all(table(spark, sf, "embeddings"))
 
@@ -55,6 +59,6 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op6_nearest_neighbours, op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination)
+    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op5_jaccard_join, op6_nearest_neighbours, op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination)
 }
 ORACLE: dict[str, str] = {}
