@@ -113,7 +113,8 @@ class Encoder:
     words then have the same ids wherever they stand, and each is encoded once and remembered.
     """
 
-    MAX_WORDS = 700_000
+    MAX_WORDS = 400_000
+    WORD_END = "</w>"
 
     def __init__(self, path: str, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -122,6 +123,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # what was known before; words met again move over
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
 
     @staticmethod
     def of(path: str, by_word: bool) -> "Encoder":
@@ -134,27 +139,50 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _together(self, words: list[str]) -> list[bytes]:
+        """Words of letters alone, encoded as one text: each is one word of the tokenizer, and its last token ends it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):  # the tokenizer's letters are others than Python's
+            return self._plain(words)
+        content, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return [content[a:b] for a, b in zip(at[:-1], at[1:])]
+
     def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > self.MAX_WORDS:
+            self.older, self.known = self.known, {}
+        for w in words & self.older.keys():
+            self.known[w] = self.older[w]
+        words = words - self.known.keys()
         # A full stop or comma behind a letter is a token of its own, so such a word needs only its stem.
         ended = [w for w in words if w[-1:] in (b".", b",") and len(w) > 1 and 97 <= w[-2] <= 122]
-        need = list(((words - set(ended)) | {w[:-1] for w in ended} | {w[-1:] for w in ended}) - self.known.keys())
-        self.known.update(zip(need, self._plain([w.decode() for w in need])))
+        need = (words.difference(ended) | {w[:-1] for w in ended} | {w[-1:] for w in ended}) - self.known.keys()
+        split = [(w, w.decode()) for w in need]
+        letters = [x for x in split if x[1].isalpha()]
+        others = [x for x in split if not x[1].isalpha()]
+        for part, encode in ((letters, self._together), (others, self._plain)):
+            if part:
+                self.known.update(zip([w for w, _ in part], encode([t for _, t in part])))
         for w in ended:
             self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._plain(texts)
-        out = []
-        if len(self.known) > self.MAX_WORDS:
-            self.known.clear()
         split = [t.encode().lower().split() for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
+        get = self.known.get
+        found = [list(map(get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
         self._learn(new)
-        get = self.known.__getitem__
-        for text, words in zip(texts, split):
-            # Special tokens are looked for in the text as it is, before it is lower-cased.
-            out.append(self._plain([text])[0] if "<|" in text else b"".join(map(get, words)))
+        known = self.known
+        out = []
+        for text, words, ids in zip(texts, split, found):
+            if "<|" in text:  # special tokens are looked for in the text as it is, before it is lower-cased
+                out.append(self._plain([text])[0])
+                continue
+            if None in ids:
+                ids = [known[w] if i is None else i for w, i in zip(words, ids)]
+            out.append(b"".join(ids))
         return out
 
 
@@ -164,8 +192,8 @@ def token_counts(docs: DataFrame, tokenizer: str, by_word: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer, by_word)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 n = [len(ids) // 4 + 1 for ids in encoder.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
@@ -202,8 +230,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, b
             doc_ids.clear(), pieces.clear(), sizes.clear()
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
                     doc_ids.append(NO_DOC if doc_id is None else doc_id)
                     pieces.append(ids + end)
