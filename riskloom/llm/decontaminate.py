@@ -208,5 +208,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The documents that no benchmark item contaminates, unchanged."""
-    found = leaks(docs, benchmark, coverage).select(F.col("doc_id").alias("_leaked")).distinct()
+    # In a written table, so that Spark knows its size and broadcasts it if it is small.
+    found = staged(leaks(docs, benchmark, coverage).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
     return docs.join(found, F.col("doc_id").cast("long") == F.col("_leaked"), "left_anti")

@@ -251,12 +251,31 @@ def training_fold(folds: int = 3, held_out: int = 1) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds != held_out
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of each document; positives are the good labels of the training folds."""
+def learnt(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Model]:
+    """The features of all documents, in a written table, and the model fitted on them."""
     good = labels.filter("quality = 1").filter(training_fold()).select(F.col("doc_id").cast("long").alias("_good")).distinct()
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = staged(featured(ids, "doc_id"), "quality")
     marked = staged(table.join(good, table.doc_id == good._good, "left").select("doc_id", "x", F.col("_good").isNotNull().alias("positive")), "quality-marked")
-    return scored(marked, fit(marked)).select(
+    return marked, fit(marked)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of each document; positives are the good labels of the training folds."""
+    marked, model = learnt(docs, labels)
+    return scored(marked, model).select(
         "doc_id", (~training_fold()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents whose score reaches ``least``, unchanged. Texts are scored where they are read and not shuffled."""
+    _, model = learnt(docs, labels)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrays.slices(batches, "text"):
+            score = _sigmoid(model.margin(text_features(*arrays.text_bytes(batch.column(at))).astype(np.float32).astype(np.float64)))
+            yield batch.filter(pa.array(score >= least))
+
+    return docs.mapInArrow(run, docs.schema)

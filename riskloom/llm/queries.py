@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, jaccard, packing, quality, repeats, secrets, tokens, toxicity, vptree
+from riskloom.llm import decontaminate, jaccard, packing, pages, quality, repeats, secrets, tokens, toxicity, vptree
 
 
 VOCABULARY = 49_408  # ids of word_bpe_49k.json
@@ -25,6 +25,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.report(table(spark, sf, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.main_text(table(spark, sf, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(tokens.token_counts(table(spark, sf, "documents"), tokenizer(), by_word=True))
 
@@ -59,6 +63,24 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_best_fit_packing, op4_quality_classifier, op5_jaccard_join, op6_nearest_neighbours, op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination)
+    for f in (
+        op1_secret_scan, op2_main_text, op3_best_fit_packing, op4_quality_classifier, op5_jaccard_join, op6_nearest_neighbours,
+        op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination,
+    )
+}
+# Exact search: every inner product in double precision. Vectors that take no part are left out on both sides.
+ORACLE = {
+    "op6_nearest_neighbours": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scores
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }
-ORACLE: dict[str, str] = {}
