@@ -34,6 +34,9 @@ from riskloom.session import shared_dir, staged
 DEPTH = 50
 ANCHOR = 20
 NO_DOC = -(1 << 63)
+# Text in a block, about. A worker holds one block and, for each sixteenth byte or so, 40 bytes of what it knows.
+# Blocks times blocks answers are exchanged, so let blocks grow with the corpus as far as memory allows.
+BLOCK_BYTES = 8 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH, size: int = ANCHOR) -> tuple[np.ndarray, ...]:
@@ -82,17 +85,18 @@ class Block:
     def __init__(self, table: pa.Table):
         self.doc_ids = table.column("doc_id").fill_null(NO_DOC).to_numpy()
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        found: list[tuple[np.ndarray, ...]] = []
+        kinds = (np.uint64, np.uint64, np.int32, np.int32, np.int32, np.int32)
+        found: list[list[np.ndarray]] = [[] for _ in kinds]
         row = 0
         batches = iter(table.select(["text"]).combine_chunks().to_batches())
-        for number, batch in enumerate(arrays.slices(batches, "text")):
+        for number, batch in enumerate(arrays.slices(batches, "text", arrays.SLICE_BYTES // 2)):
             data, offsets = arrays.text_bytes(batch.column(0))
             key, around, first, count, doc = anchors(data, offsets)
-            found.append((key, around, first, count, doc + row, np.full(len(key), number)))
+            for kept, values, kind in zip(found, (key, around, first, count, doc + row, np.full(len(key), number)), kinds):
+                kept.append(values.astype(kind))
             self.parts.append((data, offsets))
             row += batch.num_rows
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 4
-        self.key, self.around, self.first, self.count, self.row, self.part = columns
+        self.key, self.around, self.first, self.count, self.row, self.part = [np.concatenate([np.zeros(0, t), *found.pop(0)]) for t in kinds]
         self.doc = self.doc_ids[self.row] if len(self.row) else np.zeros(0, np.int64)
 
     # Pass 1
@@ -125,7 +129,7 @@ class Block:
         hashes, self.spots = [], []
         for number, (data, _) in enumerate(self.parts):
             mine = self.open[self.part[self.open] == number]
-            n = self.count[mine]
+            n = self.count[mine].astype(np.int64)
             spot = np.repeat(self.first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             self.spots.append((spot, np.repeat(self.row[mine], n)))
             hashes.append(arrays.stretch_hashes(arrays.prefix_sums(data), spot, spot + DEPTH) if len(spot) else np.zeros(0, np.uint64))
@@ -144,7 +148,7 @@ class Block:
             done += len(spot)
             starts[spot[repeated]] = 1
             mine = self.whole[self.part[self.whole] == number]
-            n = self.count[mine]
+            n = self.count[mine].astype(np.int64)
             starts[np.repeat(self.first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())] = 1
             total = np.cumsum(starts)
             covered = total[:-1].copy()
@@ -254,10 +258,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    count = max(1, source.rdd.getNumPartitions())
+    splits = max(1, source.rdd.getNumPartitions())
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    each = max(1, -(-size // (splits * BLOCK_BYTES)))
+    count = splits * each
     name = f"repeat_blocks_{uuid.uuid4().hex[:12]}"
-    # One block for each split of the scan. Bucketing by block lets the passes below meet their answers without a shuffle of texts.
-    source.withColumn("block", F.spark_partition_id()).write.bucketBy(count, "block").option("path", shared_dir(spark, "blocks")).saveAsTable(name)
+    # Some blocks for each split of the scan. Bucketing by block lets the passes below meet their answers without a shuffle of texts.
+    block = (F.spark_partition_id() * each + F.pmod(F.xxhash64("doc_id"), F.lit(each))).cast("int")
+    source.withColumn("block", block).write.bucketBy(count, "block").option("path", shared_dir(spark, "blocks")).saveAsTable(name)
     blocks = spark.table(name)
 
     def first(key: tuple, table: pa.Table) -> pa.Table:
