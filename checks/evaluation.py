@@ -83,7 +83,8 @@ def evl_07(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-SWEEP = f"""{v.LABELLED}, t AS (SELECT CAST(i AS INTEGER) AS step, 0.05::DOUBLE + i * 0.9::DOUBLE / 90::DOUBLE AS threshold FROM range(91) r(i)),
+THRESHOLDS = ", ".join(f"{t!r}::DOUBLE" for t in fixed.THRESHOLDS)
+SWEEP = f"""{v.LABELLED}, t AS (SELECT CAST(i - 1 AS INTEGER) AS step, [{THRESHOLDS}][i] AS threshold FROM range(1, 92) r(i)),
 c AS (SELECT step, threshold, count_if(probability < threshold AND is_vulnerable = 0) AS tn, count_if(probability >= threshold AND is_vulnerable = 0) AS fp,
   count_if(probability < threshold AND is_vulnerable = 1) AS fn, count_if(probability >= threshold AND is_vulnerable = 1) AS tp FROM t, labelled GROUP BY ALL)"""
 

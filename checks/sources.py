@@ -43,16 +43,33 @@ def text():
     return F.col("raw_code")
 
 
+LABEL = "CAST((doc_id // 4) % 2 AS INTEGER)"  # of the documents' lines
+
+
+def _label_text(value):
+    """A label as JSON writes it: a whole number, a boolean, a decimal or a text, in turn."""
+    truth = F.when(value == 1, F.lit("true")).otherwise(F.lit("false"))
+    whole = value.cast("string")
+    form = F.floor(doc() / 8) % 4
+    return F.when(form == 0, whole).when(form == 1, truth).when(form == 2, F.concat(whole, F.lit(".0"))).otherwise(F.concat(F.lit('"'), whole, F.lit('"')))
+
+
+def _labelled(record, value):
+    """A record with its label written in place of a mark."""
+    return F.replace(record, F.lit('"<label>"'), _label_text(value))
+
+
 def _doc_lines(spark, sf):
-    """Documents as JSON lines with changing field names, blank lines and broken lines between them."""
+    """Documents as JSON lines with changing field names and label forms, blank lines and broken lines between them."""
     docs = v.documents(spark, sf)
-    label = (doc() % 2).cast("int")
+    mark = F.lit("<label>")
     record = (
-        F.when(doc() % 4 == 0, _json(func=text(), target=label, id=doc().cast("string"), project=F.col("source"), commit_id=F.concat(F.lit("c"), doc())))
-        .when(doc() % 4 == 1, _json(functionSource=text(), label=label, id=doc().cast("string"), func=F.lit("")))
-        .when(doc() % 4 == 2, _json(code=text(), target=label, label=F.lit(0), id=doc().cast("string")))
-        .otherwise(_json(raw_code=text(), is_vulnerable=label == 1, id=doc().cast("string"), owasp_category=F.col("source"), language=F.col("language")))
+        F.when(doc() % 4 == 0, _json(func=text(), target=mark, id=doc().cast("string"), project=F.col("source"), commit_id=F.concat(F.lit("c"), doc())))
+        .when(doc() % 4 == 1, _json(functionSource=text(), label=mark, id=doc().cast("string"), func=F.lit("")))
+        .when(doc() % 4 == 2, _json(code=text(), target=mark, label=F.lit(0), id=doc().cast("string")))
+        .otherwise(_json(raw_code=text(), is_vulnerable=mark, id=doc().cast("string"), owasp_category=F.col("source"), language=F.col("language")))
     )
+    record = _labelled(record, F.floor(doc() / 4) % 2)
     return _write_lines(docs, record, F.when(doc() % 10 == 7, F.lit("   ")), F.when(doc() % 10 == 3, F.concat(F.lit('{"func": "broken '), doc().cast("string"))))
 
 
@@ -65,28 +82,28 @@ def src_01(spark, sf):
     return counted
 
 
-@case("src_02_func_target", """SELECT sha256(text) AS code_hash, CAST(doc_id % 2 AS INTEGER) AS is_vulnerable, CAST(doc_id AS VARCHAR) AS id, source AS project, 'c' || doc_id AS commit_id
+@case("src_02_func_target", f"""SELECT sha256(text) AS code_hash, {LABEL} AS is_vulnerable, CAST(doc_id AS VARCHAR) AS id, source AS project, 'c' || doc_id AS commit_id
 FROM documents WHERE doc_id % 4 = 0 AND text <> ''""")
 def src_02(spark, sf):
     rows = text_lines.func_target(text_lines.json_lines(spark, _doc_lines(spark, sf)))
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable", "id", "project", "commit_id")
 
 
-@case("src_03_function_source", """SELECT sha256(text) AS code_hash, CAST(CASE WHEN doc_id % 4 = 3 THEN 0 ELSE doc_id % 2 END AS INTEGER) AS is_vulnerable, CAST(doc_id AS VARCHAR) AS id
+@case("src_03_function_source", f"""SELECT sha256(text) AS code_hash, {LABEL} AS is_vulnerable, CAST(doc_id AS VARCHAR) AS id
 FROM documents WHERE doc_id % 4 <> 3 AND length(text) > 20""")
 def src_03(spark, sf):
     rows = text_lines.function_source(text_lines.json_lines(spark, _doc_lines(spark, sf)))
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable", "id")
 
 
-@case("src_04_code_first", """SELECT sha256(text) AS code_hash, CAST(doc_id % 2 AS INTEGER) AS is_vulnerable
+@case("src_04_code_first", f"""SELECT sha256(text) AS code_hash, {LABEL} AS is_vulnerable
 FROM documents WHERE doc_id % 4 <> 3 AND length(text) > 20""")
 def src_04(spark, sf):
     rows = text_lines.code_first(text_lines.json_lines(spark, _doc_lines(spark, sf)))
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable")
 
 
-@case("src_05_generic_fields", """SELECT sha256(text) AS code_hash, CAST(CASE WHEN doc_id % 4 = 3 THEN 0 ELSE doc_id % 2 END AS INTEGER) AS is_vulnerable
+@case("src_05_generic_fields", f"""SELECT sha256(text) AS code_hash, {LABEL} AS is_vulnerable
 FROM documents WHERE length(text) > 10""")
 def src_05(spark, sf):
     rows = text_lines.generic(text_lines.json_lines(spark, _doc_lines(spark, sf)))
@@ -170,16 +187,17 @@ def src_10(spark, sf):
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable", "language")
 
 
-@case("src_11_func_label", """SELECT sha256(text) AS code_hash, CAST(doc_id % 3 AS INTEGER) AS is_vulnerable FROM documents WHERE doc_id % 3 IN (0, 1) AND text <> ''""")
+@case("src_11_func_label", """SELECT sha256(text) AS code_hash, CAST(CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END AS INTEGER) AS is_vulnerable FROM documents
+WHERE (doc_id % 3 IN (0, 1) OR (doc_id // 8) % 4 = 1) AND text <> ''""")
 def src_11(spark, sf):
-    path = _write_lines(v.documents(spark, sf), _json(func=text(), label=(doc() % 3).cast("int")))
+    path = _write_lines(v.documents(spark, sf), _labelled(_json(func=text(), label=F.lit("<label>")), (doc() % 3).cast("int")))
     rows = text_lines.func_label(text_lines.json_lines(spark, path))
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable")
 
 
 @case("src_12_passthrough", """SELECT sha256(text) AS code_hash, CAST(doc_id % 2 AS INTEGER) AS is_vulnerable, source AS owasp_category FROM documents""")
 def src_12(spark, sf):
-    path = _write_lines(v.documents(spark, sf), _json(raw_code=text(), is_vulnerable=(doc() % 2).cast("int"), owasp_category=F.col("source")))
+    path = _write_lines(v.documents(spark, sf), _labelled(_json(raw_code=text(), is_vulnerable=F.lit("<label>"), owasp_category=F.col("source")), (doc() % 2).cast("int")))
     rows = text_lines.passthrough(text_lines.json_lines(spark, path))
     return rows.select(n.content_key(text()).alias("code_hash"), "is_vulnerable", "owasp_category")
 

@@ -251,7 +251,22 @@ METRIC_FIELDS = (
     "unsafe_patterns", "security_hotspots", "test_coverage", "recent_commits", "past_vulnerabilities",
 )
 INTEGER_METRICS = tuple(name for name in METRIC_FIELDS if name != "test_coverage")
-THRESHOLD_STEPS, THRESHOLD_LOW, THRESHOLD_SPAN = 90, 0.05, 0.90
+# The thresholds of the sweep, from 0.05 to 0.95 in steps of about 0.01, to the last digit.
+THRESHOLDS = (
+    0.05, 0.06, 0.07, 0.08, 0.09, 0.09999999999999999, 0.10999999999999999,
+    0.12, 0.13, 0.13999999999999999, 0.14999999999999997, 0.15999999999999998, 0.16999999999999998, 0.18,
+    0.19, 0.19999999999999996, 0.20999999999999996, 0.21999999999999997, 0.22999999999999998, 0.24, 0.24999999999999994,
+    0.25999999999999995, 0.26999999999999996, 0.27999999999999997, 0.29, 0.3, 0.30999999999999994, 0.31999999999999995,
+    0.32999999999999996, 0.33999999999999997, 0.3499999999999999, 0.35999999999999993, 0.36999999999999994, 0.37999999999999995, 0.38999999999999996,
+    0.3999999999999999, 0.4099999999999999, 0.41999999999999993, 0.42999999999999994, 0.43999999999999995, 0.4499999999999999, 0.4599999999999999,
+    0.4699999999999999, 0.4799999999999999, 0.48999999999999994, 0.49999999999999994, 0.5099999999999999, 0.5199999999999999, 0.5299999999999999,
+    0.5399999999999999, 0.5499999999999999, 0.5599999999999999, 0.57, 0.58, 0.59, 0.6,
+    0.61, 0.62, 0.63, 0.6399999999999999, 0.6499999999999999, 0.6599999999999999, 0.6699999999999999,
+    0.6799999999999999, 0.69, 0.7, 0.71, 0.72, 0.73, 0.74,
+    0.7499999999999999, 0.7599999999999999, 0.7699999999999999, 0.7799999999999999, 0.7899999999999999, 0.7999999999999999, 0.8099999999999999,
+    0.82, 0.83, 0.84, 0.8499999999999999, 0.8599999999999999, 0.8699999999999999, 0.8799999999999999,
+    0.8899999999999999, 0.8999999999999999, 0.9099999999999999, 0.9199999999999999, 0.9299999999999999, 0.94, 0.95,
+)
 MIN_ACCURACY = 0.80
 DECISION_THRESHOLD, PR_THRESHOLD = 0.50, 0.50
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 from riskloom.functions.normalise import sample_ok
+from riskloom.session import staged
 
 
 def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -28,7 +29,7 @@ def combined_corpus(
     min_code_length: int = fixed.MIN_RAW_CHARS,
     max_code_length: int = fixed.MAX_RAW_CHARS,
     filter_junk: bool = True,
-    order: str = "row_pos",
+    order: str | Sequence[str] = "row_pos",
 ) -> DataFrame:
     """Per-source cap in file order, then the quality filter, then the union."""
     from riskloom.operators.sampling import first_rows
@@ -75,12 +76,8 @@ def with_labels(predictions: DataFrame, labels: DataFrame, key: str = "doc_id")
 def weighted_terms(term_weights: DataFrame, coefficients: DataFrame, term: str = "term") -> DataFrame:
     """Contribution of each term of each document: its weight times the model coefficient.
 
-    The coefficient table is as large as the model's vocabulary, which its builder bounds.
+    The coefficient table is as large as the model's vocabulary, which its builder bounds. It is written first, so that
+    Spark knows its size when it chooses the join.
     """
-    from riskloom.session import pinned
+    return term_weights.join(staged(coefficients, "coefficients"), term).withColumn("contribution", F.col("weight") * F.col("coefficient"))
 
-    return term_weights.join(pinned(coefficients, 100_000), term).withColumn("contribution", F.col("weight") * F.col("coefficient"))
-
-
-def shares(total: Column, part: Column) -> Column:
-    return part / F.nullif(total, F.lit(0))

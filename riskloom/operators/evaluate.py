@@ -129,7 +129,8 @@ def class_report(df: DataFrame, digits: int | None = 4, **columns: str) -> DataF
 
 
 def threshold_value(step: Column) -> Column:
-    return F.lit(fixed.THRESHOLD_LOW) + step * F.lit(fixed.THRESHOLD_SPAN) / F.lit(fixed.THRESHOLD_STEPS)
+    """The fixed threshold of a step; null outside the grid."""
+    return F.get(F.array(*[F.lit(t) for t in fixed.THRESHOLDS]), step.cast("int"))
 
 
 def threshold_sweep(df: DataFrame, score: str = "probability", label: str = "is_vulnerable", digits: int | None = 6) -> DataFrame:
@@ -138,9 +139,10 @@ def threshold_sweep(df: DataFrame, score: str = "probability", label: str = "is_
     A row is counted once, in the bucket of the highest threshold it reaches; running sums over
     the at most 92 buckets give the counts at each threshold.
     """
-    steps = fixed.THRESHOLD_STEPS
-    guess = F.floor((F.col(score) - fixed.THRESHOLD_LOW) * F.lit(steps / fixed.THRESHOLD_SPAN))
-    # Floating-point division may miss the bucket by one, so both neighbours are compared.
+    steps = len(fixed.THRESHOLDS) - 1
+    low, high = fixed.THRESHOLDS[0], fixed.THRESHOLDS[-1]
+    guess = F.floor((F.col(score) - low) * F.lit(steps / (high - low)))
+    # The grid is even only up to the last digits, so the guess is compared with both neighbours.
     reached = F.when(threshold_value(guess + 1) <= F.col(score), guess + 1).when(threshold_value(guess) > F.col(score), guess - 1).otherwise(guess)
     bucket = F.greatest(F.lit(-1).cast("bigint"), F.least(reached, F.lit(steps).cast("bigint")))
     counted = df.select(bucket.alias("step"), F.col(label).alias("_y")).groupBy("step").agg(

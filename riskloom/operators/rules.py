@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 from riskloom.functions import risk
-from riskloom.functions.patterns import CodeText, folded
+from riskloom.functions.patterns import CodeText, folded, regex
 from riskloom.session import settled
 
 # Message texts are data: pass other tables to change wording or language.
@@ -106,13 +107,21 @@ def match_families(df: DataFrame, code: str = "raw_code", keep: Sequence[str] =
     return df.withColumn("_lowered", folded(F.col(code))).select(*keep, F.explode(families).alias("rule_family"))
 
 
-def match_rule_table(df: DataFrame, rules: DataFrame, code: str, keep: Sequence[str], max_rules: int = 2000) -> DataFrame:
-    """``match_rules`` for rules that arrive as a table ``(rule_id, pattern)`` of checked size."""
-    rows = rules.select("rule_id", "pattern").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} rules: split the table and union the results")
-    tests = [F.when(F.regexp_like(F.col(code), F.lit(row.pattern)), F.lit(row.rule_id)) for row in rows]
-    return df.select(*keep, F.explode(F.array_compact(F.array(*tests))).alias("rule_id"))
+RULES_IN_ONE_PASS = 500
+
+
+def match_rule_table(df: DataFrame, rules: DataFrame, code: str, keep: Sequence[str], batch: int = RULES_IN_ONE_PASS) -> DataFrame:
+    """``match_rules`` for a rule catalogue that arrives as a table ``(rule_id, pattern)``.
+
+    Rules are compiled into the projection, ``batch`` of them at a time; each further batch is one more pass over the texts.
+    """
+    rows = rules.select("rule_id", "pattern").filter("pattern is not null").collect()
+    passes = []
+    for start in range(0, max(1, len(rows)), batch):
+        tests = [F.when(F.regexp_like(F.col(code), regex(row.pattern)), F.lit(row.rule_id)) for row in rows[start : start + batch]]
+        found = F.array_compact(F.array(*tests)) if tests else F.array().cast(f"array<{dict(rules.dtypes)['rule_id']}>")
+        passes.append(df.select(*keep, F.explode(found).alias("rule_id")))
+    return reduce(DataFrame.unionByName, passes)
 
 
 def attach_weakness(hits: DataFrame) -> DataFrame:

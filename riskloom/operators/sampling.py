@@ -14,11 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import pinned
+from riskloom.session import staged
 
 Quota = Callable[[Column], Column]
-SLICES = 4096
-MAX_PINNED_GROUPS = 20_000
+Order = str | Sequence[str]
 
 
 def hash_order(key: Column, seed: int = 42) -> Column:
@@ -42,24 +41,24 @@ def _suffixed(df: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({key: key + suffix for key in keys})
 
 
-def cuts(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Quota]) -> DataFrame:
+def _order_of(order: Order) -> Column:
+    return F.col(order) if isinstance(order, str) else F.struct(*order)
+
+
+def cuts(df: DataFrame, keys: Sequence[str], order: Order, quotas: Mapping[str, Quota]) -> DataFrame:
     """(keys, name, cut): per group and named quota, the order value of the quota's last row.
 
     A quota maps the group's row count to the wanted number; where that is 0 there is no cut.
-    ``order`` is a hex hash or a whole number.
+    ``order`` is a hex hash, or any column or list of columns that can be sorted.
     """
     keys = list(keys)
-    narrow = df.select(*keys, F.col(order).alias("_order"))
+    narrow = df.select(*keys, _order_of(order).alias("_order"))
     if dict(narrow.dtypes)["_order"] == "string":
         sliced = narrow.withColumn("_slice", F.substring("_order", 1, 3))
     else:
-        spans = narrow.groupBy(*keys).agg(F.min("_order").alias("_low"), F.max("_order").alias("_high"))
-        if keys:
-            spanned = narrow.join(_suffixed(pinned(spans, MAX_PINNED_GROUPS), keys, "_s"), _matches(keys, "_s"))
-        else:
-            spanned = narrow.withColumns({name: spans.select(name).scalar() for name in ("_low", "_high")})
-        width = (F.col("_high") - F.col("_low")) / F.lit(SLICES) + 1
-        sliced = spanned.select(*keys, "_order", F.floor((F.col("_order") - F.col("_low")) / width).alias("_slice"))
+        # Ranges hold equally many rows, whatever the values look like; they are written so that all steps see the same ones.
+        ranged = narrow.repartitionByRange(*keys, "_order").withColumn("_slice", F.spark_partition_id())
+        sliced = staged(ranged, "order-slices")
     counted = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*keys)
     running = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -70,26 +69,26 @@ def cuts(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Qu
         .withColumn("q", F.least("q", "_rows"))
         .filter((F.col("_before") < F.col("q")) & (F.col("q") <= F.col("_upto")))
     )
-    targets = _suffixed(pinned(placed.select(*keys, "_slice", "_before", "name", "q"), MAX_PINNED_GROUPS), [*keys, "_slice"], "_t")
+    targets = _suffixed(staged(placed.select(*keys, "_slice", "_before", "name", "q"), "cut-slices"), [*keys, "_slice"], "_t")
     inside = sliced.join(targets, _matches([*keys, "_slice"], "_t"))
     place = F.row_number().over(Window.partitionBy(*keys, "name").orderBy("_order"))
     hit = inside.withColumn("_place", place).filter(F.col("_place") == F.col("q") - F.col("_before"))
     return hit.select(*keys, "name", F.col("_order").alias("cut"))
 
 
-def below_cut(df: DataFrame, keys: Sequence[str], order: str, quotas: Mapping[str, Quota]) -> DataFrame:
+def below_cut(df: DataFrame, keys: Sequence[str], order: Order, quotas: Mapping[str, Quota]) -> DataFrame:
     """Add one flag per quota: whether the row is among the first rows of its group."""
     per_group = [F.max(F.when(F.col("name") == flag, F.col("cut"))).alias(f"_cut_{flag}") for flag in quotas]
-    table = pinned(cuts(df, keys, order, quotas).groupBy(*keys).agg(*per_group), MAX_PINNED_GROUPS)
+    table = staged(cuts(df, keys, order, quotas).groupBy(*keys).agg(*per_group), "cuts")
     if keys:
         joined = df.join(_suffixed(table, keys, "_c"), _matches(keys, "_c"), "left")
     else:
         joined = df.withColumns({f"_cut_{flag}": table.select(f"_cut_{flag}").scalar() for flag in quotas})
-    flags = {flag: F.coalesce(F.col(order) <= F.col(f"_cut_{flag}"), F.lit(False)) for flag in quotas}
+    flags = {flag: F.coalesce(_order_of(order) <= F.col(f"_cut_{flag}"), F.lit(False)) for flag in quotas}
     return joined.withColumns(flags).drop(*[f"_cut_{flag}" for flag in quotas], *[key + "_c" for key in keys])
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame:
+def first_rows(df: DataFrame, keys: Sequence[str], order: Order, limit: int) -> DataFrame:
     """First ``limit`` rows of each group in file order.
 
     ``order`` may repeat for rows that stem from one raw record; such a record is kept whole, so
@@ -98,7 +97,7 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> Da
     return below_cut(df, keys, order, {"_keep": lambda rows: F.lit(limit)}).filter("_keep").drop("_keep")
 
 
-def class_balanced_cap(df: DataFrame, limit: int, order: str, label: str = "is_vulnerable", keys: Sequence[str] = ("source",)) -> DataFrame:
+def class_balanced_cap(df: DataFrame, limit: int, order: Order, label: str = "is_vulnerable", keys: Sequence[str] = ("source",)) -> DataFrame:
     """At most half of ``limit`` rows per class and source, in file order."""
     return first_rows(df, [*keys, label], order, limit // 2)
 

@@ -56,18 +56,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def pinned(df: DataFrame, max_rows: int) -> DataFrame:
-    """A small aggregate as a broadcast table, after counting its rows.
-
-    Past ``max_rows`` the frame is returned as it is, and joins on it stay shuffle joins that
-    adaptive execution may split.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add costly columns that later filters read.
 
@@ -76,11 +64,3 @@ def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     return df.withColumns({**columns, "_task": F.spark_partition_id()}).filter("_task >= 0").drop("_task")
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores, before costly text work.
-
-    A scan of many splits, as any large table gives, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

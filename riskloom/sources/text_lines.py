@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -16,7 +15,6 @@ from riskloom.schemas import RAW_LINE
 from riskloom.session import settled
 
 CORRUPT = "_corrupt"
-MAX_BROADCAST_FILES = 500_000
 
 
 def readable(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
@@ -31,21 +29,19 @@ def readable(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
     return found
 
 
+ROW_BITS = 33  # in which a task numbers its rows
+
+
 def with_position(df: DataFrame) -> DataFrame:
-    """Add ``path`` and ``row_pos``, a number that follows the order of sorted paths and lines.
+    """Add ``path`` and ``row_pos`` (path, first byte of the split, row in the task), which sorts like sorted paths and their lines.
 
-    22 bits file, 17 bits megabyte of the split, 24 bits row inside the task.
+    Every part has its own whole number, so neither many files nor long ones wrap around.
     """
     # Local paths are listed as file:///x but reported per row as file:/x.
-    files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
-    ranks = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)] or [("", 0)], "_file string, _rank long")
-    block = F.shiftright(F.col("_metadata.file_block_start"), 20)
-    located = df.select("*", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"), block.alias("_block"), F.monotonically_increasing_id().alias("_id"))
-    row = F.col("_id").bitwiseAND(F.lit((1 << 24) - 1))
-    ranks = F.broadcast(ranks) if len(files) <= MAX_BROADCAST_FILES else ranks
-    joined = located.join(ranks, located["path"] == ranks["_file"], "left")
-    position = F.shiftleft(F.col("_rank"), 41) + F.shiftleft(F.col("_block"), 24) + row
-    return joined.withColumn("row_pos", position).drop("_file", "_rank", "_block", "_id")
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    place = F.struct(path.alias("path"), F.col("_metadata.file_block_start").alias("split"), row.alias("row"))
+    return df.select("*", path.alias("path"), place.alias("row_pos"))
 
 
 def json_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_LINE) -> DataFrame:
@@ -69,8 +65,15 @@ def load_health(df: DataFrame, by: str = "path") -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col(CORRUPT).isNotNull()).alias("errors"))
 
 
+def _number(field: str) -> Column:
+    """A label as a number: booleans count as 1 and 0."""
+    text = F.lower(F.trim(F.col(field)))
+    return F.when(text == "true", F.lit(1.0)).when(text == "false", F.lit(0.0)).otherwise(text.try_cast("double"))
+
+
 def _label(*fields: str) -> Column:
-    return F.coalesce(*[F.col(f).try_cast("int") for f in fields])
+    """The first label that is a number, cut to a whole one."""
+    return F.coalesce(*[_number(f).try_cast("int") for f in fields])
 
 
 def func_target(df: DataFrame) -> DataFrame:
@@ -109,10 +112,9 @@ def generic(df: DataFrame, code_field: str = "func", label_field: str = "target"
 def func_label(df: DataFrame) -> DataFrame:
     """``func`` (or its other names) with a label that must be 0 or 1."""
     code = n.first_nonempty(F.col("func"), F.col("code"), F.col("processed_func"))
-    label = F.coalesce(_label("target"), _label("label"), _label("is_vulnerable"))
-    return good_lines(df).select(code.alias("raw_code"), label.alias("is_vulnerable"), "path", "row_pos").filter(
-        F.col("raw_code").isNotNull() & F.col("is_vulnerable").isin(0, 1)
-    )
+    label = F.coalesce(_number("target"), _number("label"), _number("is_vulnerable"))
+    kept = good_lines(df).withColumn("_label", label).filter(code.isNotNull() & F.col("_label").isin(0.0, 1.0))
+    return kept.select(code.alias("raw_code"), F.col("_label").cast("int").alias("is_vulnerable"), "path", "row_pos")
 
 
 def passthrough(df: DataFrame) -> DataFrame:

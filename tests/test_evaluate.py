@@ -85,3 +85,16 @@ def test_reasons_need_a_positive_contribution(spark):
     df = spark.createDataFrame([(0, 3.0, 0.0), (1, 0.0, 0.0)], "doc_id int, a double, b double")
     rows = explain.top_reasons(df, ["a", "b"], [1.0, -1.0], means=[1.0, 0.0]).orderBy("doc_id").collect()
     assert rows[0].reasons == ["a"] and rows[1].reasons == [explain.NO_REASON]
+
+
+def test_scores_on_thresholds_reach_them(spark):
+    import numpy as np
+    from riskloom import fixed_values as fixed
+
+    grid = np.linspace(0.05, 0.95, 91)
+    assert tuple(grid.tolist()) == fixed.THRESHOLDS
+    scores = [round(i / 1000, 3) for i in range(1001)] + grid.tolist() + np.nextafter(grid, 0).tolist()
+    rows = spark.createDataFrame([(s, i % 2) for i, s in enumerate(scores)], "probability double, is_vulnerable int")
+    sweep = {r.step: r.recall for r in evaluate.threshold_sweep(rows, digits=None).collect()}
+    positive = np.array(scores)[1::2]
+    assert sweep == {i: (positive >= t).sum() / len(positive) for i, t in enumerate(grid)}

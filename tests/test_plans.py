@@ -7,7 +7,7 @@ from checks import views
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup, evaluate, features, rules, sampling
 from riskloom.plans.prepare import clean_records
-from riskloom.session import pinned, settled, shared_dir, spread
+from riskloom.session import settled, shared_dir
 
 
 def plan(df, kind="executedPlan"):
@@ -49,23 +49,11 @@ def test_texts_do_not_move_for_a_cap(spark, sf):
     assert "hashpartitioning" not in tree and "BroadcastHashJoin" in tree
 
 
-def test_pinned_checks_the_size(spark):
-    df = spark.range(10).groupBy((F.col("id") % 5).alias("k")).count()
-    assert "hashpartitioning" not in plan(pinned(df, 5)) and pinned(df, 5).count() == 5
-    assert pinned(df, 4) is df
-
-
 def test_settled_keeps_rows_and_columns(spark):
     df = settled(spark.range(5), {"x": F.col("id") * 2})
     assert df.columns == ["id", "x"] and df.filter("x > 4").count() == 2
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
-
-
 def test_shared_folder_follows_the_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     paths = [shared_dir(spark, "x"), shared_dir(spark, "x")]

@@ -1,3 +1,4 @@
+import gzip
 import json
 import math
 import tempfile
@@ -113,3 +114,32 @@ def test_idf_formula(spark):
     assert rows == pytest.approx({(0, "a"): 2 * idf["a"] / norm, (0, "b"): idf["b"] / norm, (1, "a"): 1.0})
     vector = model.vectors(df, "w", "v").orderBy("i").first().v
     assert list(vector.toArray()) == pytest.approx([2 * idf["a"] / norm, idf["b"] / norm])
+
+
+LABELS = {"true": 1, "false": 0, "1.0": 1, "0.0": 0, "1": 1, '"1"': 1, "null": None, '"x"': None}
+
+
+def test_labels_of_every_loader(spark, tmp_path):
+    """Booleans and whole decimals are labels as integers are."""
+    code = "c" * 30
+    for number, (label, want) in enumerate(LABELS.items()):
+        for loader, field in (("func_target", "target"), ("function_source", "label"), ("code_first", "label"), ("generic", "target"), ("func_label", "label"), ("passthrough", "is_vulnerable")):
+            name = "raw_code" if loader == "passthrough" else "func"
+            path = tmp_path / f"{number}-{loader}.jsonl"
+            path.write_text(f'{{"{name}": "{code}", "{field}": {label}}}\n')
+            rows = [r.is_vulnerable for r in getattr(text_lines, loader)(text_lines.json_lines(spark, str(path))).collect()]
+            missing = {"func_label": [], "passthrough": [None]}.get(loader, [0])
+            assert rows == ([want] if want is not None else missing), (loader, label)
+
+
+def test_half_labels_are_none(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"func": "abc", "label": 0.5}\n')
+    assert text_lines.func_label(text_lines.json_lines(spark, str(tmp_path))).collect() == []
+
+
+def test_positions_of_a_long_file_do_not_repeat(spark, tmp_path):
+    lines = (1 << 24) + 1000
+    (tmp_path / "long.txt.gz").write_bytes(gzip.compress(b"1\n" * lines, 1))  # one split
+    placed = text_lines.with_position(spark.read.text(str(tmp_path)))
+    counted = placed.agg(F.count_distinct("row_pos").alias("n"), F.max("row_pos.row").alias("last")).first()
+    assert counted.n == lines and counted.last == lines - 1

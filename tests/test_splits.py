@@ -30,6 +30,16 @@ def test_first_rows_matches_brute_force(skewed):
         assert got == expected
 
 
+def test_first_rows_of_one_giant_file_among_small_ones(spark):
+    small = spark.range(5000).select(F.format_string("f%05d", "id").alias("path"), F.lit(0).cast("decimal(38,0)").alias("row_pos"))
+    giant = spark.range(20_000).select(F.lit("f02500x").alias("path"), F.col("id").cast("decimal(38,0)").alias("row_pos"))
+    both = small.unionByName(giant).withColumn("k", F.lit("all"))
+    kept = sampling.first_rows(both, ["k"], ["path", "row_pos"], 12_345)
+    counts = {r.giant: r.n for r in kept.groupBy((F.col("path") == "f02500x").alias("giant")).agg(F.count("*").alias("n")).collect()}
+    assert counts == {True: 12_345 - 2501, False: 2501}
+    assert kept.filter("path = 'f02500x'").agg(F.max("row_pos")).first()[0] == 12_345 - 2501 - 1
+
+
 def test_cap_keeps_whole_raw_records(skewed):
     pairs = skewed.withColumn("record", F.floor(F.col("doc_id") / 2))
     kept = sampling.first_rows(pairs.filter("source = 'hot' or source <> 'hot'"), [], "record", 101)
