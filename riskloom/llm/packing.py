@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import staged
+
 SIZES = (512, 1024, 2048, 4096)
 # Cost of a sequence of n tokens: n * (1 + n / SCALE), as attention adds a square term.
 SCALE = 16384.0
@@ -156,6 +158,7 @@ def pack(lengths: DataFrame, sizes: Sequence[int] = SIZES) -> DataFrame:
     pieces = lengths.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("_n"), F.explode(F.sequence(F.lit(0), last.cast("int"))).alias("piece")).select(
         "doc_id", "piece", F.least(F.lit(largest), F.col("_n") - F.col("piece").cast("long") * largest).cast("int").alias("length")
     )
+    pieces = staged(pieces, "pieces")  # lengths may be costly, and are read three times
     histogram = {r.length: r.n for r in pieces.filter("length > 0").groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``largest`` rows
     shared = spark.sparkContext.broadcast(plan(histogram, sizes))  # bounded by the largest size, not by the documents
 
