@@ -10,6 +10,7 @@ from riskloom import schemas
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup, modelling, profile, validation
 from riskloom.operators.weighting import balanced_weights
+from riskloom.plans import prepare
 from riskloom.session import shared_dir
 from riskloom.sources import files, nested, sinks, tables, text_lines
 
@@ -314,3 +315,54 @@ def snk_05(spark, sf):
     before = modelling.score(model, rows).select("doc_id", F.col("probability").alias("p1"))
     after = modelling.score(sinks.load_model(path), rows).select("doc_id", F.col("probability").alias("p2"))
     return before.join(after, "doc_id").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("p1") != F.col("p2")).alias("changed"))
+
+
+def _collections(spark, sf):
+    """Documents dealt out to three raw collections; labels and groups follow from the text, so that copies agree in them."""
+    docs = v.documents(spark, sf)
+    size = F.length(text())
+    lines = docs.filter(doc() % 3 == 0)
+    record = _labelled(_json(func=text(), target=F.lit("<label>"), commit_id=F.concat(F.lit("c"), size), language=F.lit("Java")), size % 2)
+    code = F.struct(F.lit("f").alias("func_name"), text().alias("func_before"), F.concat(text(), F.lit("\nafter")).alias("func_after"))
+    item = F.struct(F.lit("Java").alias("language"), F.lit("p").alias("file_path"), F.array(code).alias("vulnerable_functions"))
+    commit = F.struct(F.lit("h").alias("commit_hash"), F.array(item).alias("files"))
+    trees = docs.filter(doc() % 3 == 1).groupBy(F.floor(doc() / 150)).agg(
+        F.collect_list(F.struct(F.concat(F.lit("CVE-"), size).alias("cve_id"), F.array(commit).alias("commits"))).alias("trees"))
+    arrays = shared_dir(spark, "collection")
+    broken = trees.limit(1).select(F.lit('[{"cve_id": ').alias("value"))
+    trees.select(F.to_json("trees").alias("value")).unionByName(broken).write.option("maxRecordsPerFile", 1).text(arrays)
+    table = shared_dir(spark, "collection")
+    safety = F.when(size % 2 == 1, F.lit("vulnerable")).otherwise(F.lit("safe"))
+    rows = docs.filter(doc() % 3 == 2).select(text().alias("code"), safety.alias("safety"), F.lit("Java").alias("language"))
+    rows.write.option("header", True).option("escape", '"').csv(table)
+    return {"codexglue": _write_lines(lines, record, F.when(doc() % 10 == 3, F.lit('{"func": '))), "megavul_java": arrays, "absent": "/nonexistent/folder", "cvefixes_zip": table}
+
+
+# A label of the JSON lines is text: decimals are none, as in the cleaner.
+COLLECTED = f"""raw AS (
+  SELECT 0 AS r, 'codexglue' AS source, text AS t, CASE WHEN (doc_id // 8) % 4 <> 2 THEN CAST(length(text) % 2 AS INTEGER) END AS y, 'c' || length(text) AS g FROM documents WHERE doc_id % 3 = 0
+  UNION ALL SELECT 1, 'megavul_java', text, 1, 'CVE-' || length(text) || ':h:p:f' FROM documents WHERE doc_id % 3 = 1
+  UNION ALL SELECT 1, 'megavul_java', text || chr(10) || 'after', 0, 'CVE-' || length(text) || ':h:p:f' FROM documents WHERE doc_id % 3 = 1
+  UNION ALL SELECT 2, 'cvefixes_zip', text, CAST(length(text) % 2 AS INTEGER), '' FROM documents WHERE doc_id % 3 = 2),
+given AS (SELECT * FROM raw WHERE {v.sql_strip('t')} <> ''),
+good AS (SELECT *, {v.sql_clean('t')} AS c FROM given),
+usable AS (SELECT *, sha256(c) AS code_hash FROM good WHERE length(c) BETWEEN 30 AND 200000 AND y IN (0, 1))"""
+
+
+@case("prep_clean_table", f"""WITH {COLLECTED}, first AS (SELECT code_hash, min_by({{'source': source, 'y': y, 'g': g, 'c': c}}, r) AS f FROM usable GROUP BY 1)
+SELECT code_hash, f.source AS source, f.y AS is_vulnerable, f.g AS group_id, 'java' AS language, CAST(length(f.c) AS BIGINT) AS code_length, {v.sql_lines('f.c')} AS line_count FROM first""")
+def prep_clean_table(spark, sf):
+    """From three raw collections, one of them missing and one with a broken file, to the clean table."""
+    return prepare.clean_corpus(spark, _collections(spark, sf)).table.drop("raw_code", "path")
+
+
+@case("prep_clean_profile", f"""WITH {COLLECTED}, u AS (SELECT source, count(*) AS n, count_if(y = 0) AS a, count_if(y = 1) AS b FROM usable GROUP BY 1)
+SELECT g.source, CAST(count(*) AS BIGINT) AS input_records, CAST(max(u.n) AS BIGINT) AS usable_records, CAST(max(u.a) AS BIGINT) AS label_0, CAST(max(u.b) AS BIGINT) AS label_1,
+  CASE g.source WHEN 'codexglue' THEN (SELECT count(*) FROM documents WHERE doc_id % 3 = 0 AND doc_id % 10 = 3) WHEN 'megavul_java' THEN 1 ELSE 0 END AS errors FROM given g LEFT JOIN u USING (source) GROUP BY 1
+UNION ALL SELECT 'combined', count(*), count(DISTINCT code_hash), NULL, NULL, NULL FROM usable""")
+def prep_clean_profile(spark, sf):
+    corpus = prepare.clean_corpus(spark, _collections(spark, sf))
+    none = F.lit(None).cast("bigint")
+    combined = corpus.combined.select(
+        F.lit("combined").alias("source"), F.col("before_dedup").alias("input_records"), F.col("after_dedup").alias("usable_records"), none.alias("label_0"), none.alias("label_1"), none.alias("errors"))
+    return corpus.sources.unionByName(combined)

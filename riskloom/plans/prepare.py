@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup
-from riskloom.schemas import CLEAN
-from riskloom.session import settled
+from riskloom.operators.profile import source_profile
+from riskloom.schemas import CLEAN, CVE_TREE
+from riskloom.session import settled, staged
+from riskloom.sources import nested, tables, text_lines
 
 
 def cleaned_columns(df: DataFrame) -> DataFrame:
@@ -27,7 +32,11 @@ def clean_records(df: DataFrame) -> DataFrame:
 
     The size and label filter comes before hashing and language detection.
     """
-    kept = cleaned_columns(df).filter(usable())
+    return _finished(cleaned_columns(df))
+
+
+def _finished(cleaned: DataFrame) -> DataFrame:
+    kept = cleaned.filter(usable())
     code = F.col("raw_code")
     full = kept.withColumns(
         {
@@ -38,10 +47,67 @@ def clean_records(df: DataFrame) -> DataFrame:
             "line_count": n.nonblank_lines(code),
         }
     )
-    order = [c for c in ("source_rank", "row_pos", "doc_id") if c in full.columns]
+    order = [c for c in ("source_rank", "row_pos", "item", "doc_id") if c in full.columns]
     return full.select(*CLEAN.fieldNames(), *order)
 
 
 def clean_table(df: DataFrame, order: tuple[str, ...] = ("source_rank", "path", "row_pos")) -> DataFrame:
     """Clean records without repeated content; the first in source order stays."""
     return dedup.keep_first(clean_records(df), order=order)
+
+
+RECORD = ("raw_code", "is_vulnerable", "path", "language", "group_id", "row_pos", "item", "refused")
+
+
+def _no_item() -> Column:
+    return F.array().cast("array<int>")
+
+
+def source_records(spark: SparkSession, source: str, path: str) -> DataFrame:
+    """Standard records of one collection, and one row with ``refused`` set for each line or file that cannot be parsed.
+
+    The name of the source decides the reader: ``megavul`` collections are arrays of CVE trees, ``cvefixes`` is a CSV
+    file with code and safety, all others are JSON lines.
+    """
+    if source.startswith("megavul"):
+        read = text_lines.with_position(nested.json_array(spark, path, CVE_TREE, corrupt=True))
+        trees = nested.from_cve_tree(read.filter(F.col(nested.CORRUPT).isNull()).drop(nested.CORRUPT), item="item")
+        good = trees.withColumn("is_vulnerable", F.col("is_vulnerable").cast("string"))
+    elif source.startswith("cvefixes"):
+        read = text_lines.with_position(tables.quoted_csv(spark, path))
+        good = read.na.drop(subset=["code", "safety"]).withColumnsRenamed({"code": "raw_code", "safety": "is_vulnerable"})
+        good = good.withColumns({"group_id": F.lit(""), "item": _no_item()})
+    else:
+        read = text_lines.json_lines(spark, path)
+        good = text_lines.standard_records(read, source).withColumn("item", _no_item())
+    good = good.withColumn("refused", F.lit(False)).select(*RECORD)
+    if "_corrupt" not in read.columns:
+        return good
+    kinds = dict(good.dtypes)
+    # Spark does not read the corrupt column of JSON files alone, so a second column is looked at.
+    looked = F.length(F.coalesce(F.col(read.columns[0]).cast("string"), F.lit(""))) >= 0
+    bad = read.filter(F.col("_corrupt").isNotNull() & looked).withColumn("refused", F.lit(True))
+    return good.unionByName(bad.select(*[F.col(c) if c in ("path", "row_pos", "refused") else F.lit(None).cast(kinds[c]).alias(c) for c in RECORD]))
+
+
+@dataclass(frozen=True)
+class Corpus:
+    """The clean table, its profile by source, and the counts before and after removing repeated content."""
+
+    table: DataFrame
+    sources: DataFrame
+    combined: DataFrame
+
+
+def clean_corpus(spark: SparkSession, paths: Mapping[str, str]) -> Corpus:
+    """From raw collections (source name -> path, in order of precedence) to the clean table, as one job.
+
+    Sources whose path is missing are skipped. Cleaned records are written once; profile and table read them.
+    """
+    found = text_lines.readable(spark, dict(paths))
+    records = dedup.union_sources({name: source_records(spark, name, path) for name, path in found.items()})
+    cleaned = cleaned_columns(records)
+    good = staged(_finished(cleaned.filter("not refused")), "clean-records")
+    order = ("source_rank", "path", "row_pos", "item")
+    first = dedup.keep_first(good, order=order)
+    return Corpus(first.select(*CLEAN.fieldNames()), source_profile(cleaned, usable(), F.col("refused")), dedup.dedup_audit(good))

@@ -10,9 +10,17 @@ from riskloom.functions import normalise as n
 from riskloom.schemas import PAIRED
 
 
-def json_array(spark: SparkSession, path: str, schema: T.StructType = PAIRED) -> DataFrame:
-    """Objects of JSON array files. Such a file is read by one task: convert it once, below."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+CORRUPT = "_corrupt"
+
+
+def json_array(spark: SparkSession, path: str, schema: T.StructType = PAIRED, corrupt: bool = False) -> DataFrame:
+    """Objects of JSON array files. Such a file is read by one task: convert it once, below.
+
+    With ``corrupt``, a file that is no JSON gives one row with its text in ``_corrupt`` and all else null.
+    """
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def array_to_lines(spark: SparkSession, path: str, out: str, schema: T.StructType = PAIRED, files: int = 0) -> None:
@@ -28,16 +36,17 @@ def from_pairs(df: DataFrame, before: str = "func_before", after: str = "func",
     return stacked.filter(F.coalesce(F.length("raw_code") > min_chars, F.lit(False)))
 
 
-def from_cve_tree(df: DataFrame, source: str | None = None) -> DataFrame:
+def from_cve_tree(df: DataFrame, source: str | None = None, item: str | None = None) -> DataFrame:
     """Rows of a CVE tree: before 1, after 0, untouched functions 0, with a composed group id.
 
-    The lists of one file are unrolled inside its row, so no join brings them together again.
+    The lists of one file are unrolled inside its row, so no join brings them together again. ``item`` names a
+    column for the row's place in its tree (commit, file, function), which sorts in the tree's order.
     """
     keep = [c for c in df.columns if c not in ("cve_id", "commits")]
     cve = F.coalesce("cve_id", F.lit(""))
-    commits = df.select(*keep, cve.alias("_cve"), F.explode("commits").alias("c"))
+    commits = df.select(*keep, cve.alias("_cve"), F.posexplode("commits").alias("_at_commit", "c"))
     commit = F.coalesce(n.first_nonempty(F.col("c.commit_hash"), F.col("c.id")), F.col("_cve"))
-    files = commits.select(*keep, "_cve", commit.alias("_commit"), F.explode("c.files").alias("f"))
+    files = commits.select(*keep, "_cve", "_at_commit", commit.alias("_commit"), F.posexplode("c.files").alias("_at_file", "f"))
     path = F.coalesce("f.file_path", F.lit(""))
 
     def row(code: Column, label: int, function: Column) -> Column:
@@ -56,7 +65,9 @@ def from_cve_tree(df: DataFrame, source: str | None = None) -> DataFrame:
     empty = F.array().cast("array<struct<raw_code:string,is_vulnerable:int,group_id:string>>")
     changed = F.coalesce(F.flatten(F.transform("f.vulnerable_functions", pair)), empty)
     others = F.coalesce(F.transform("f.non_vulnerable_functions", untouched), empty)
-    rows = files.select(
-        *keep, F.coalesce("f.language", F.lit("")).alias("language"), path.alias("file_path"), F.inline(F.concat(changed, others))
-    ).filter(~n.is_blank(F.col("raw_code")))
+    unrolled = files.select(
+        *keep, "_at_commit", "_at_file", F.coalesce("f.language", F.lit("")).alias("language"), path.alias("file_path"), F.posexplode(F.concat(changed, others)).alias("_at", "r")
+    )
+    place = [F.array("_at_commit", "_at_file", "_at").alias(item)] if item else []
+    rows = unrolled.select(*keep, "language", "file_path", "r.*", *place).filter(~n.is_blank(F.col("raw_code")))
     return rows.withColumn("source", F.lit(source)) if source else rows
