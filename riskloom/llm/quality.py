@@ -5,7 +5,7 @@ unbiased risk of a linear logistic model,
 
     prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)]),
 
-by Newton steps whose sums over all documents Spark adds up; only those sums (a few hundred numbers)
+by damped Newton steps whose sums over all documents Spark adds up; only those sums (a few hundred numbers)
 reach the driver. The class prior is estimated first: a model of positives against unlabelled text
 orders all documents, and the prior is the least ratio of unlabelled to positive mass above a score.
 
@@ -161,6 +161,7 @@ def _summed(table: DataFrame, length: int, function) -> np.ndarray:
 
 
 BINS = 2000
+CORNER = 0.005
 
 
 def _prior(table: DataFrame, model: Model, least_mass: float) -> float:
@@ -177,25 +178,32 @@ def _prior(table: DataFrame, model: Model, least_mass: float) -> float:
     ratio, mass = all_above / n, pos_above / p
     slack = np.sqrt(1 / np.maximum(pos_above, 1)) + np.sqrt(1 / np.maximum(all_above, 1))  # one standard error
     usable = mass >= least_mass
-    return float(np.clip((ratio * (1 + slack) / np.maximum(mass, 1e-9))[usable].min(), 0.01, 0.99))
+    estimate = ratio / np.maximum(mass, 1e-9)
+    best = np.where(usable, estimate * (1 + slack), np.inf).argmin()  # chosen with its error, reported without
+    return float(np.clip(estimate[best], 0.01, 0.99))
 
 
-def _newton(table: DataFrame, model: Model, n: float, p: float, prior: float | None, steps: int, ridge: float) -> Model:
-    """Newton steps. Without a prior: positives against unlabelled; with one: the non-negative unbiased risk."""
+def _newton(table: DataFrame, model: Model, n: float, p: float, prior: float | None, passes: int, ridge: float) -> Model:
+    """Newton steps, halved until the risk falls; each trial is one pass over the documents.
+
+    Without a prior: positives against unlabelled text. With one: the non-negative unbiased risk.
+    """
     d = len(FEATURES) + 1
-    w = model.weights.copy()
-    for _ in range(steps):
+    keep = np.full(d, ridge)
+    keep[-1] = 1e-6
+
+    def measured(w: np.ndarray) -> tuple[float, np.ndarray]:
+        """The penalised risk at w, and the Newton step from it."""
         now = Model(model.mean, model.scale, w, 0.5)
 
-        def sums(x: np.ndarray, positive: np.ndarray, now: Model = now) -> np.ndarray:
+        def sums(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
             a = now.design(x)
-            z = a @ now.weights
+            z = a @ w
             s = _sigmoid(z)
             q = s * (1 - s)
-            loss = np.logaddexp(0, z)  # l(-z)
-            h_all = (a * q[:, None]).T @ a
+            loss = np.logaddexp(0, z)  # l(-z); l(z) is that less z
             b, sp, qp = a[positive], s[positive], q[positive]
-            h_pos = (b * qp[:, None]).T @ b
+            h_all, h_pos = (a * q[:, None]).T @ a, (b * qp[:, None]).T @ b
             return np.concatenate([s @ a, h_all.ravel(), sp @ b, b.sum(0), h_pos.ravel(), [loss.sum(), loss[positive].sum()]])
 
         out = _summed(table, 3 * d + 2 * d * d + 2, sums)
@@ -203,23 +211,38 @@ def _newton(table: DataFrame, model: Model, n: float, p: float, prior: float | N
         rest = out[d + d * d :]
         g_pos, one_pos, h_pos = rest[:d] / p, rest[d : 2 * d] / p, rest[2 * d : 2 * d + d * d].reshape(d, d) / p
         loss_all, loss_pos = out[-2] / n, out[-1] / p
+        right_pos = loss_pos - one_pos @ w  # E_p[l(z)]
         if prior is None:
-            gradient, hessian = 0.5 * (g_all + g_pos - one_pos), 0.5 * (h_all + h_pos)
+            risk, gradient, hessian = (loss_all + right_pos) / 2, (g_all + g_pos - one_pos) / 2, (h_all + h_pos) / 2
         else:
-            gradient, hessian = prior * (g_pos - one_pos), prior * h_pos  # prior * E_p[l(z)]
-            if loss_all - prior * loss_pos >= 0:  # the part that must not be negative is at work
-                gradient, hessian = gradient + g_all - prior * g_pos, hessian + h_all - prior * h_pos
-        keep = np.full(d, ridge)
-        keep[-1] = 1e-6
+            negative, slope = loss_all - prior * loss_pos, g_all - prior * g_pos
+            # max(0, negative), rounded off within CORNER so that Newton steps see where it bends.
+            weight = float(_sigmoid(np.float64(negative / CORNER)))
+            risk = prior * right_pos + CORNER * float(np.logaddexp(0, negative / CORNER))
+            gradient = prior * (g_pos - one_pos) + weight * slope
+            hessian = prior * (1 - weight) * h_pos + weight * h_all + weight * (1 - weight) / CORNER * np.outer(slope, slope)
         step = np.linalg.solve(hessian + np.diag(keep), gradient + keep * w)
-        size = np.abs(step).max()
-        w = w - step * min(1.0, 2.0 / max(size, 1e-9))
-        if size < 1e-3:
-            break
+        return risk + float(keep @ (w * w)) / 2, step * min(1.0, 3.0 / max(np.abs(step).max(), 1e-9))
+
+    w = model.weights
+    risk, step = measured(w)
+    share = 1.0
+    for _ in range(passes - 1):
+        trial = w - share * step
+        found, following = measured(trial)
+        if found < risk:
+            small = risk - found < 1e-6
+            w, risk, step, share = trial, found, following, 1.0
+            if small:
+                break
+        else:
+            share /= 2
+            if share < 1 / 64:
+                break
     return Model(model.mean, model.scale, w, prior if prior is not None else 0.5)
 
 
-def fit(table: DataFrame, steps: int = 12, ridge: float = 1e-3, least_mass: float = 0.3) -> Model:
+def fit(table: DataFrame, passes: int = 16, ridge: float = 1e-3, least_mass: float = 0.3) -> Model:
     """Fit on a written table of ``x`` and ``positive`` (true for trusted positives; every row is unlabelled text too)."""
     d = len(FEATURES)
     out = _summed(table, 2 * d + 2, lambda x, positive: np.concatenate([x.sum(0), (x * x).sum(0), [len(x), positive.sum()]]))
@@ -229,8 +252,8 @@ def fit(table: DataFrame, steps: int = 12, ridge: float = 1e-3, least_mass: floa
     start = Model(mean, scale, np.zeros(d + 1), 0.5)
     if p == 0:
         return start
-    prior = _prior(table, _newton(table, start, n, p, None, steps, ridge), least_mass)
-    return _newton(table, start, n, p, prior, steps, ridge)
+    prior = _prior(table, _newton(table, start, n, p, None, passes, ridge), least_mass)
+    return _newton(table, start, n, p, prior, passes, ridge)
 
 
 def scored(table: DataFrame, model: Model) -> DataFrame:
