@@ -60,9 +60,9 @@ M = rules.METRIC_FINDINGS
 @case("rul_08_metric_findings", f"""WITH {v.METRICS}, t AS (SELECT l_orderkey, l_linenumber, CAST(unsafe_patterns AS BIGINT) AS u, CAST(security_hotspots AS BIGINT) AS h,
     TRY_CAST(CASE WHEN cyclomatic_complexity = '3.5' THEN NULL ELSE cyclomatic_complexity END AS BIGINT) AS c, CAST(deprecated_functions AS BIGINT) AS d, CAST(test_coverage AS DOUBLE) AS k FROM metrics)
 SELECT l_orderkey, l_linenumber,
-  array_to_string(list_filter([CASE WHEN u > 0 THEN u || ' unsafe API uses counted' END, CASE WHEN h > 0 THEN h || ' security hotspots counted' END,
-    CASE WHEN c > 10 THEN 'Cyclomatic complexity of ' || c || ' is hard to audit' END, CASE WHEN d > 0 THEN d || ' deprecated functions in use' END,
-    CASE WHEN k < 50 THEN 'Test coverage of ' || format('{{:.1f}}', k) || '% leaves code untested' END], lambda x: x IS NOT NULL), '; ') AS vulnerability_types,
+  array_to_string(list_filter([CASE WHEN u > 0 THEN 'unsafe calls: ' || u END, CASE WHEN h > 0 THEN 'hotspots: ' || h END,
+    CASE WHEN c > 10 THEN 'branches: ' || c END, CASE WHEN d > 0 THEN 'outdated calls: ' || d END,
+    CASE WHEN k < 50 THEN 'coverage: ' || format('{{:.1f}}', k) || '%' END], lambda x: x IS NOT NULL), '; ') AS vulnerability_types,
   array_to_string(list_filter([CASE WHEN u > 0 THEN 'CWE-676' END, CASE WHEN h > 0 THEN 'CWE-119' END, CASE WHEN c > 10 THEN 'CWE-1075' END, CASE WHEN d > 0 THEN 'CWE-1104' END,
     CASE WHEN k < 50 THEN 'CWE-1223' END], lambda x: x IS NOT NULL), '; ') AS cwe_ids,
   array_to_string(list_filter([CASE WHEN u > 0 THEN {v.q(M[0][2])} END, CASE WHEN h > 0 THEN {v.q(M[1][2])} END, CASE WHEN c > 10 THEN {v.q(M[2][2])} END,

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 
+# What to do at each level, in this library's words.
 ADVICE = {
-    "HIGH": "Review insecure patterns, test coverage and dependencies first.",
-    "MEDIUM": "Review by hand, add tests and check the sensitive dependencies.",
-    "LOW": "Keep up normal monitoring and secure coding practice.",
+    "HIGH": "Stop: do not merge before the findings below are fixed.",
+    "MEDIUM": "A person should read this change before it is merged.",
+    "LOW": "Nothing stands out; the usual process is enough.",
 }
 
 

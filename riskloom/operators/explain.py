@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -63,21 +62,28 @@ def vector_reasons(
 ) -> DataFrame:
     """``top_reasons`` for a feature vector of a fitted linear model.
 
-    Names, coefficients and means have one entry per slot of the model, so they travel as literals.
+    Only the slots that a row holds are looked at. An absent slot adds ``-coef * mean`` in every row, so the best
+    absent ones come from one list, sorted once and just long enough for the row with the most slots.
     """
+    vector = F.unwrap_udt(column)
+    spots = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
     if means is None:
         means = df.agg(Summarizer.mean(F.col(column)).alias("m")).first()["m"].toArray()
+    longest = df.agg(F.max(F.size(spots))).first()[0] or 0
+    shift = sorted((float(c) * float(m), label, i) for i, (c, m, label) in enumerate(zip(coefficients, means, names)) if c * m < 0)[: longest + top]
 
     def literal(values: Sequence, kind: str) -> Column:
         return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
     labels = literal(list(names), "string")
     weights, centres = literal([float(c) for c in coefficients], "double"), literal([float(m) for m in means], "double")
-    entries = F.transform(
-        vector_to_array(column),
-        lambda x, i: F.struct((-(F.get(weights, i) * (x - F.get(centres, i)))).alias("order"), F.get(labels, i).alias("feature")),
+    absent = literal([{"order": o, "feature": label, "slot": i} for o, label, i in shift], "struct<order:double,feature:string,slot:int>")
+    held = F.transform(
+        F.arrays_zip(spots.alias("i"), vector["values"].alias("x")),
+        lambda e: F.struct((-(F.get(weights, e["i"]) * (e["x"] - F.get(centres, e["i"])))).alias("order"), F.get(labels, e["i"]).alias("feature"), e["i"].alias("slot")),
     )
-    rising = F.slice(F.array_sort(F.filter(entries, lambda e: e["order"] < 0)), 1, top)
+    others = F.slice(F.filter(absent, lambda e: ~F.array_contains(spots, e["slot"])), 1, top)
+    rising = F.slice(F.array_sort(F.concat(F.filter(held, lambda e: e["order"] < 0), others)), 1, top)
     picked = df.withColumn(name, F.transform(rising, lambda e: feature_label(e["feature"])))
     return picked.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(NO_REASON))))
 

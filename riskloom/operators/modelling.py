@@ -25,8 +25,9 @@ MAX_TREE_DEPTH = 30
 
 
 def logistic(**params) -> LogisticRegression:
-    """Elastic-net logistic model; weights come from the ``weight`` column."""
-    return LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, **{"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100, **params})
+    """Elastic-net logistic model; weights come from the ``weight`` column. The penalty acts on the features as they are."""
+    base = {"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100, "standardization": False}
+    return LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, **{**base, **params})
 
 
 def forest(**params) -> RandomForestClassifier:

@@ -42,11 +42,11 @@ MITIGATIONS = {
     "deserialization": "CWE-502: exchange plain data formats or filter the classes read",
 }
 METRIC_FINDINGS = (
-    ("unsafe_patterns", "%d unsafe API uses counted", "CWE-676: replace hazardous calls by safe ones"),
-    ("security_hotspots", "%d security hotspots counted", "CWE-119: audit buffer limits and input boundaries"),
-    ("cyclomatic_complexity", "Cyclomatic complexity of %d is hard to audit", "CWE-1075: split large functions and test every path"),
-    ("deprecated_functions", "%d deprecated functions in use", "CWE-1104: move to maintained interfaces"),
-    ("test_coverage", "Test coverage of %.1f%% leaves code untested", "CWE-1223: add tests for the uncovered paths"),
+    ("unsafe_patterns", "unsafe calls: %d", "CWE-676: call checked library functions"),
+    ("security_hotspots", "hotspots: %d", "CWE-119: bound each access to a buffer"),
+    ("cyclomatic_complexity", "branches: %d", "CWE-1075: break the module up"),
+    ("deprecated_functions", "outdated calls: %d", "CWE-1104: upgrade"),
+    ("test_coverage", "coverage: %.1f%%", "CWE-1223: test more"),
 )
 FORBIDDEN_TEXT = {"gets": "gets() is forbidden", "strcpy": "strcpy() is forbidden", "eval": "eval() is forbidden"}
 REMEDIATION = {

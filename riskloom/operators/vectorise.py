@@ -8,14 +8,16 @@ carries partial sums. The vocabulary is bounded by ``max_features``, so it trave
 from __future__ import annotations
 
 import json
+import math
 import unicodedata
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import (
-    CountVectorizerModel, HashingTF, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer, StandardScaler,
-    StringIndexer, VectorAssembler, VectorSizeHint,
+    CountVectorizerModel, ElementwiseProduct, HashingTF, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer, StringIndexer,
+    VectorAssembler, VectorSizeHint,
 )
-from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,8 +160,21 @@ class TfidfModel:
             key, F.get(names, F.col("e.i")).alias("term"), F.col("e.tf").cast("bigint").alias("tf"), F.col("e.w").alias("weight")
         )
 
+    def stages(self, terms: str, name: str) -> list:
+        """The weights without the logarithm of ``sublinear``, as stages that a pipeline can hold and save."""
+        counts, weighted = f"{name}_counts", f"{name}_weighted"
+        return [
+            CountVectorizerModel.from_vocabulary(self.terms, terms, counts),
+            ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol=counts, outputCol=weighted),
+            Normalizer(p=2.0, inputCol=weighted, outputCol=name),
+        ]
+
     def vectors(self, df: DataFrame, terms: str, name: str) -> DataFrame:
         """Add the weights as one sparse vector."""
+        if not self.sublinear:
+            for stage in self.stages(terms, name):
+                df = stage.transform(df)
+            return df.drop(f"{name}_counts", f"{name}_weighted")
         parts = self._parts(df, terms)
         body = F.to_json(
             F.struct(
@@ -206,12 +221,23 @@ def category_stages(columns: list[str], suffix: str = "_onehot") -> list:
     ]
 
 
+class PopulationScaler(Estimator):
+    """Divides each slot by its population standard deviation; constant slots stay. The fitted stage can be saved."""
+
+    def __init__(self, inputCol: str, outputCol: str):
+        super().__init__()
+        self.input, self.output = inputCol, outputCol
+
+    def _fit(self, dataset: DataFrame) -> ElementwiseProduct:
+        found = dataset.agg(Summarizer.metrics("variance", "count").summary(F.col(self.input)).alias("s")).select("s.variance", "s.count").first()
+        n = found["count"]
+        deviation = [math.sqrt(max(v, 0.0) * (n - 1) / n) if n else 0.0 for v in found["variance"]]
+        return ElementwiseProduct(scalingVec=Vectors.dense([1 / d if d else 1.0 for d in deviation]), inputCol=self.input, outputCol=self.output)
+
+
 def numeric_stages(columns: list[str], output: str) -> list:
-    """Numbers divided by their standard deviation, not centred."""
-    return [
-        VectorAssembler(inputCols=columns, outputCol=f"{output}_raw"),
-        StandardScaler(inputCol=f"{output}_raw", outputCol=output, withMean=False, withStd=True),
-    ]
+    """Numbers divided by their population standard deviation, not centred."""
+    return [VectorAssembler(inputCols=columns, outputCol=f"{output}_raw"), PopulationScaler(f"{output}_raw", output)]
 
 
 def scaled_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
