@@ -25,8 +25,8 @@ MAX_TREE_DEPTH = 30
 
 
 def logistic(**params) -> LogisticRegression:
-    """Elastic-net logistic model; weights come from the ``weight`` column. The penalty acts on the features as they are."""
-    base = {"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100, "standardization": False}
+    """Elastic-net logistic model; weights come from the ``weight`` column."""
+    base = {"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100}
     return LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, **{**base, **params})
 
 
