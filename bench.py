@@ -27,7 +27,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.log.level": "ERROR"},
+        **{"spark.sql.shuffle.partitions": cpus, "spark.sql.files.maxPartitionBytes": "2m", "spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.log.level": "ERROR"},
     )
     spark.range(1000).selectExpr("sum(id)").collect()
     times = {}
