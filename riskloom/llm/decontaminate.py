@@ -5,6 +5,10 @@ Windows of ``SIZE`` tokens are joined by hash. For each alignment of a document
 placeholders are compared: a re-parameterised copy maps each value of the item to one value of the document.
 Documents whose consistent alignments cover enough windows of an item are contaminated by it.
 
+A capitalised word that begins a text, line or sentence may be a name or not. So each text has two templates, one in
+which such words stay literal and one in which they are names; each is joined with its like and checked on its own.
+Windows that begin at the same word of an item count once, in whichever template they are met.
+
 A fixed-size bit table of the benchmark's hashes, the same at every scale, keeps windows without a partner
 out of the shuffle; the join decides.
 
@@ -40,6 +44,8 @@ UNITS = (
 )
 
 WORD, NUMBER, NAME, UNIT = range(4)
+PLAIN, OPENERS = range(2)  # forms of a text: its template, and the one in which capitalised openers are names too
+SALT = arrays.mix(np.arange(2))
 MARKS = {NUMBER: np.uint64(0x1111111111111111), NAME: np.uint64(0x2222222222222222), UNIT: np.uint64(0x3333333333333333)}
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
@@ -68,12 +74,8 @@ def _hash_of(word: str) -> np.uint64:
 UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
 
 
-def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template tokens (hashes), their kinds, the hashes of their values, and the bounds of documents among them.
-
-    Punctuation around words is ignored. A capitalised word is a name unless it begins a text, line or sentence;
-    neighbouring names are one.
-    """
+def _typed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Bare words of the texts: hash, document, and whether each is a number, a unit, capitalised, and an opener."""
     starts, ends, _ = arrays.words(data, offsets)
     bare = ~PUNCTUATION[data]
     spot = np.arange(len(data))
@@ -88,80 +90,99 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     first, last, word = first[some], last[some], starts[some]
     doc = np.searchsorted(offsets, word, "right") - 1
     low = _lowered(data)
-    sums = arrays.prefix_sums(low)
-    value = arrays.stretch_hashes(sums, first, last)
+    value = arrays.stretch_hashes(arrays.prefix_sums(low), first, last)
     n = len(first)
-    kind = np.zeros(n, np.int8)
+    number, unit, capital, opening = (np.zeros(n, bool) for _ in range(4))
     if n:
         within = np.concatenate([[0], np.cumsum(IN_NUMBER[data])])
         number = DIGIT[data[first]] & (within[last] - within[first] == last - first)
         lines = np.concatenate([[0], np.cumsum(data == 10)])
-        opening = np.ones(n, bool)
+        opening[0] = True
         opening[1:] = (doc[1:] != doc[:-1]) | (lines[word[1:]] != lines[word[:-1]]) | ENDS_SENTENCE[data[raw_end[:-1] - 1]]
         capital = low[first] != data[first]
         capital |= (data[first] == 0xC3) & (low[np.minimum(first + 1, len(data) - 1)] != data[np.minimum(first + 1, len(data) - 1)])
-        kind[capital & ~opening] = NAME
-        kind[number] = NUMBER
-        after_number = np.zeros(n, bool)
-        after_number[1:] = number[:-1] & (doc[1:] == doc[:-1])
+        unit[1:] = number[:-1] & (doc[1:] == doc[:-1])
         at = np.minimum(np.searchsorted(UNIT_HASHES, value), len(UNIT_HASHES) - 1)
-        kind[after_number & (UNIT_HASHES[at] == value)] = UNIT
+        unit &= UNIT_HASHES[at] == value
+    return value, doc, number, unit, capital, opening
+
+
+def _form(typed: tuple[np.ndarray, ...], n_docs: int, form: int) -> tuple[np.ndarray, ...]:
+    """Tokens of a form: their hashes, kinds, value hashes, the bounds of documents among them, and their first words."""
+    value, doc, number, unit, capital, opening = typed
+    n = len(value)
+    kind = np.zeros(n, np.int8)
+    kind[capital if form == OPENERS else capital & ~opening] = NAME
+    kind[number] = NUMBER
+    kind[unit] = UNIT
+    keep = np.arange(n)
+    if n:
         joined = np.zeros(n, bool)
-        joined[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (doc[1:] == doc[:-1])
+        joined[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & (doc[1:] == doc[:-1]) & ~opening[1:]
         keep = np.flatnonzero(~joined)
         order = np.arange(n) - np.repeat(keep, np.diff(np.append(keep, n)))  # place within a name of several words
         value = np.add.reduceat(arrays.mix(value + order.astype(np.uint64)), keep)
-        kind, doc = kind[keep], doc[keep]
+    kind, kept = kind[keep], doc[keep]
     token = value.copy()
     for k, mark in MARKS.items():
         token[kind == k] = mark
-    return token, kind, value, np.searchsorted(doc, np.arange(len(offsets)))
+    every = np.arange(n_docs + 1)
+    return token, kind, value, np.searchsorted(kept, every), keep - np.searchsorted(doc, every)[kept]
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...], wanted: np.ndarray | None = None):
-    """For each size the (document, position, hash, slot values) of all windows of which half the tokens are words."""
-    token, kind, value, bounds = template(data, offsets)
-    slot = np.where(kind == WORD, np.uint64(0), value | np.uint64(1))
-    fixed = np.concatenate([[0], np.cumsum(kind == WORD)])
-    for size in sizes:
-        hashes = arrays.window_hashes(token, size) ^ np.uint64(size)
-        at = np.arange(len(hashes))
-        good = 2 * (fixed[at + size] - fixed[at]) >= size
-        if wanted is not None:
-            good &= wanted[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-        at = at[good]
-        doc = np.searchsorted(bounds, at, "right") - 1
-        inside = at + size <= bounds[doc + 1]
-        at, doc = at[inside], doc[inside]
-        yield size, doc, at - bounds[doc], hashes[at], slot[at[:, None] + np.arange(size)[None, :]]
+def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template tokens (hashes), their kinds, the hashes of their values, and the bounds of documents among them.
 
+    Punctuation around words is ignored. A capitalised word is a name unless it begins a text, line or sentence;
+    neighbouring names are one.
+    """
+    return _form(_typed(data, offsets), len(offsets) - 1, PLAIN)[:4]
 
-WINDOW = "id long, size int, pos int, hash long, slots array<long>"
 
+def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, ...]] | None, wanted: np.ndarray | None = None):
+    """The (form, size, document, position, first word, hash, slot values) of all windows of which half the tokens are words.
 
-def _window_rows(source: DataFrame, sizes_of, wanted=None) -> DataFrame:
-    """Windows of the texts of ``source`` (id, text). ``sizes_of`` gives the sizes, or None for items, which may be shorter."""
+    ``sizes`` gives the sizes of each form, or None for items, which may be shorter than ``SIZE``.
+    """
+    typed = _typed(data, offsets)
+    for form in (PLAIN, OPENERS) if sizes is None else sizes:
+        token, kind, value, bounds, word = _form(typed, len(offsets) - 1, form)
+        own = np.minimum(np.diff(bounds), SIZE)
+        slot = np.where(kind == WORD, np.uint64(0), value | np.uint64(1))
+        fixed = np.concatenate([[0], np.cumsum(kind == WORD)])
+        for size in sorted(set(own[own >= SHORTEST].tolist())) if sizes is None else sizes[form]:
+            hashes = arrays.window_hashes(token, size) ^ np.uint64(size) ^ SALT[form]
+            at = np.arange(len(hashes))
+            good = 2 * (fixed[at + size] - fixed[at]) >= size
+            if wanted is not None:
+                good &= wanted[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+            at = at[good]
+            doc = np.searchsorted(bounds, at, "right") - 1
+            inside = at + size <= bounds[doc + 1]
+            if sizes is None:
+                inside &= own[doc] == size
+            at, doc = at[inside], doc[inside]
+            yield form, size, doc, at - bounds[doc], word[at], hashes[at], slot[at[:, None] + np.arange(size)[None, :]]
+
+
+WINDOW = "id long, form int, size int, pos int, word int, hash long, slots array<long>"
+
+
+def _window_rows(source: DataFrame, sizes: dict[int, tuple[int, ...]] | None, wanted=None) -> DataFrame:
+    """Windows of the texts of ``source`` (id, text). ``sizes`` gives the sizes of each form, or None for items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = None if wanted is None else np.unpackbits(np.frombuffer(wanted.value, np.uint8)).astype(bool)
         for batch in arrays.slices(batches, "text"):
             data, offsets = arrays.text_bytes(batch.column(1))
-            if sizes_of is None:
-                bounds = template(data, offsets)[3]
-                own = np.minimum(np.diff(bounds), SIZE)
-                sizes = tuple(sorted(set(own[own >= SHORTEST].tolist())))
-            else:
-                sizes, own = sizes_of, None
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for size, doc, pos, hashes, slots in windows(data, offsets, sizes, table):
-                if own is not None:
-                    some = own[doc] == size
-                    doc, pos, hashes, slots = doc[some], pos[some], hashes[some], slots[some]
+            for form, size, doc, pos, word, hashes, slots in windows(data, offsets, sizes, table):
                 flat = pa.array(slots.astype(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, size, dtype=np.int32)), flat)
+                fixed = [pa.array(np.full(len(doc), x, np.int32)) for x in (form, size)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[doc], pa.int64()), pa.array(np.full(len(doc), size, np.int32)), pa.array(pos.astype(np.int32)), pa.array(hashes.astype(np.int64)), lists],
-                    ["id", "size", "pos", "hash", "slots"],
+                    [pa.array(ids[doc], pa.int64()), *fixed, pa.array(pos.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(hashes.astype(np.int64)), lists],
+                    ["id", "form", "size", "pos", "word", "hash", "slots"],
                 )
 
     return source.mapInArrow(run, WINDOW)
@@ -170,13 +191,18 @@ def _window_rows(source: DataFrame, sizes_of, wanted=None) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, n_windows matched, item_windows, coverage, n_slots and n_changed of each contaminated pair.
 
-    ``n_changed`` counts the values that differ, all consistently: 0 for a verbatim copy.
+    The windows are those of one template or of both, whichever gives the larger share. ``n_slots`` and ``n_changed``
+    are those of the alignment with most windows; ``n_changed`` counts the values that differ, all consistently: 0 for a
+    verbatim copy.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null and text is not null")
-    item_rows = staged(_window_rows(items, None).dropDuplicates(["id", "size", "pos"]), "benchmark-windows")
-    totals = item_rows.groupBy("id").agg(F.count("*").alias("item_windows"))
-    sizes = tuple(r.size for r in item_rows.select("size").distinct().collect())  # at most SIZE values
+    item_rows = staged(_window_rows(items, None).dropDuplicates(["id", "form", "size", "pos"]), "benchmark-windows")
+    # First words of each item's windows; as many as the item has words at most.
+    of_form = [F.collect_set(F.when(F.col("form") == form, F.col("word"))) for form in (PLAIN, OPENERS)]
+    totals = item_rows.groupBy(F.col("id").alias("item_id")).agg(F.array(*of_form, F.collect_set("word")).alias("counted"))
+    pairs_of_sizes = [(r.form, r["size"]) for r in item_rows.select("form", "size").distinct().collect()]  # at most SIZE for each form
+    sizes = {form: tuple(size for f, size in pairs_of_sizes if f == form) for form in sorted({f for f, _ in pairs_of_sizes})}
     table = np.zeros(1 << FILTER_BITS, bool)
     top = F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("top")
     for part in item_rows.select(top).distinct().toLocalIterator():  # at most 2**FILTER_BITS numbers
@@ -185,10 +211,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).filter("id is not null")
     doc_rows = _window_rows(texts, sizes, wanted)
     matched = doc_rows.select(F.col("id").alias("doc_id"), "hash", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots")).join(
-        item_rows.select(F.col("id").alias("item_id"), "hash", "pos", "slots"), "hash"
+        item_rows.select(F.col("id").alias("item_id"), "form", "hash", "pos", "word", "slots"), "hash"
     ).withColumn("shift", F.col("doc_pos") - F.col("pos"))
-    matched = staged(matched.drop("hash", "doc_pos").distinct(), "benchmark-matches")
-    alignment = ["doc_id", "item_id", "shift"]
+    matched = staged(matched.drop("hash", "doc_pos", "pos").distinct(), "benchmark-matches")
+    alignment = ["doc_id", "item_id", "form", "shift"]
     slots = matched.select(*alignment, F.explode(F.arrays_zip("slots", "doc_slots")).alias("s")).filter("s.slots != 0").groupBy(*alignment, F.col("s.slots").alias("slot")).agg(
         F.min("s.doc_slots").alias("low"), F.max("s.doc_slots").alias("high")
     )
@@ -196,14 +222,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         F.count("*").alias("n_slots"), F.sum((F.col("low") != F.col("high")).cast("long")).alias("clashes"),
         F.sum((F.col("low") != F.col("slot")).cast("long")).alias("n_changed"),
     )
-    spans = matched.groupBy(*alignment).agg(F.collect_set("pos").alias("pos"))  # bounded by the item's length
+    spans = matched.groupBy(*alignment).agg(F.collect_set("word").alias("words"))  # bounded by the item's length
     consistent = spans.join(checked, alignment, "left").filter("coalesce(clashes, 0) = 0")
-    pairs = consistent.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("pos")))).cast("long").alias("n_windows"),
-        F.max(F.coalesce("n_slots", F.lit(0))).cast("long").alias("n_slots"), F.min(F.coalesce("n_changed", F.lit(0))).cast("long").alias("n_changed"),
-    ).join(totals.withColumnRenamed("id", "item_id"), "item_id")
-    share = F.col("n_windows") / F.col("item_windows")
-    return pairs.filter(share >= coverage).select("doc_id", "item_id", "n_windows", "item_windows", share.alias("coverage"), "n_slots", "n_changed")
+    largest = F.max(F.struct(
+        F.size("words").alias("n"), (-F.coalesce("n_changed", F.lit(0))).cast("long").alias("unchanged"), (-F.col("form")).alias("form"),
+        F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
+    ))
+    met = consistent.groupBy("doc_id", "item_id").agg(F.flatten(F.collect_list("words")).alias("words"), largest.alias("largest")).join(totals, "item_id")
+
+    def share(counted):
+        n, of = F.size(F.array_intersect("words", counted)).cast("long"), F.size(counted).cast("long")
+        return F.struct(F.when(of > 0, n / of).otherwise(0.0).alias("coverage"), n.alias("n_windows"), of.alias("item_windows"))
+
+    pairs = met.withColumn("best", F.array_max(F.transform("counted", share)))
+    return pairs.filter(F.col("best.coverage") >= coverage).select(
+        "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage", "largest.n_slots", (-F.col("largest.unchanged")).alias("n_changed")
+    )
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

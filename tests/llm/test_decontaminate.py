@@ -81,3 +81,19 @@ def test_awkward_rows(spark, documents, awkward):
     assert found(documents, spark, awkward, []) == {} and found(documents, spark, [], bench) == {}
     kept = decontaminate.clean_documents(documents(awkward), items(spark, bench))
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(i) for i, _ in awkward if i not in (4, 5, 9))
+
+
+def test_renamed_sentence_openers(spark, documents):
+    item = "Tom has 3 apples. Tom buys 2 more apples. How many apples does Tom have now?"
+    other = item.replace("Tom", "Anna").replace("3", "9")
+    docs = [(1, f"some words first. {other}"), (2, f"some words first. {item}"), (3, other.replace("Anna buys", "Peter buys")), (4, f"they asked whether {item}")]
+    out = found(documents, spark, docs, [(7, item)])
+    assert set(out) == {(1, 7), (2, 7), (4, 7)}  # in 3 two names stand for one
+    assert [(out[d, 7].n_windows, out[d, 7].item_windows, out[d, 7].n_changed) for d in (1, 2, 4)] == [(9, 9, 2), (9, 9, 0), (9, 9, 0)]
+    # An opener in lower case and a renamed one: either template meets a part of the windows.
+    mixed = "How many apples has Tom if he buys 3 apples more today. Tom gives 2 of them away and then he eats one."
+    row = found(documents, spark, [(5, "tell me h" + mixed[1:].replace("Tom", "Anna"))], [(9, mixed)])[5, 9]
+    assert (row.n_windows, row.item_windows, row.n_changed) == (16, 16, 1)
+    # A name after the end of a sentence is not one with the name before it, and one of several words is one name.
+    two = "Yesterday evening they all met Maria Lopez. Tom Miller has 3 large boxes with 5 red apples and gives 2 away."
+    assert set(found(documents, spark, [(6, two.replace("Tom Miller", "Li").replace("Maria Lopez", "Jan"))], [(8, two)])) == {(6, 8)}
