@@ -9,10 +9,14 @@ A capitalised word that begins a text, line or sentence may be a name or not. So
 which such words stay literal and one in which they are names; each is joined with its like and checked on its own.
 Windows that begin at the same word of an item count once, in whichever template they are met.
 
+A template of fewer words than placeholders says too little. Where an item's window is such, the literal words that begin
+there are looked for instead, and so are all literal windows of an item that has words enough but, as names of several
+words are one token, too few tokens. Coverage is the largest of three shares: of the windows of either template, and of all.
+
 A fixed-size bit table of the benchmark's hashes, the same at every scale, keeps windows without a partner
 out of the shuffle; the join decides.
 
-Defined results: null and empty texts and items match nothing; items of fewer than ``SHORTEST`` tokens are not
+Defined results: null and empty texts and items match nothing; items of fewer than ``SHORTEST`` words are not
 searched for; repeated items each match; repeated documents give the same rows; other columns are ignored.
 """
 
@@ -44,8 +48,9 @@ UNITS = (
 )
 
 WORD, NUMBER, NAME, UNIT = range(4)
-PLAIN, OPENERS = range(2)  # forms of a text: its template, and the one in which capitalised openers are names too
-SALT = arrays.mix(np.arange(2))
+# Forms of a text: its template, the one in which capitalised openers are names too, and its words as they are.
+PLAIN, OPENERS, LITERAL = range(3)
+SALT = arrays.mix(np.arange(3))
 MARKS = {NUMBER: np.uint64(0x1111111111111111), NAME: np.uint64(0x2222222222222222), UNIT: np.uint64(0x3333333333333333)}
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
@@ -112,9 +117,10 @@ def _form(typed: tuple[np.ndarray, ...], n_docs: int, form: int) -> tuple[np.nda
     value, doc, number, unit, capital, opening = typed
     n = len(value)
     kind = np.zeros(n, np.int8)
-    kind[capital if form == OPENERS else capital & ~opening] = NAME
-    kind[number] = NUMBER
-    kind[unit] = UNIT
+    if form != LITERAL:
+        kind[capital if form == OPENERS else capital & ~opening] = NAME
+        kind[number] = NUMBER
+        kind[unit] = UNIT
     keep = np.arange(n)
     if n:
         joined = np.zeros(n, bool)
@@ -139,15 +145,32 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return _form(_typed(data, offsets), len(offsets) - 1, PLAIN)[:4]
 
 
+def _poor(kind: np.ndarray, bounds: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether a window of fewer words than placeholders begins at a token; ``own`` gives each document's window size."""
+    doc = arrays.doc_numbers(bounds)
+    size = own[doc]
+    at = np.arange(len(kind))
+    fixed = np.concatenate([[0], np.cumsum(kind == WORD)])
+    return (at + size <= bounds[doc + 1]) & (2 * (fixed[np.minimum(at + size, len(kind))] - fixed[at]) < size)
+
+
 def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, ...]] | None, wanted: np.ndarray | None = None):
     """The (form, size, document, position, first word, hash, slot values) of all windows of which half the tokens are words.
 
-    ``sizes`` gives the sizes of each form, or None for items, which may be shorter than ``SIZE``.
+    ``sizes`` gives the sizes of each form, or None for items, which may be shorter than ``SIZE``. Items have literal windows
+    only where a window of the plain template has too few words, and all of them where that has too few tokens.
     """
     typed = _typed(data, offsets)
-    for form in (PLAIN, OPENERS) if sizes is None else sizes:
+    n_words = np.bincount(typed[1], minlength=len(offsets) - 1)
+    begin = np.concatenate([[0], np.cumsum(n_words)])  # first word of each document
+    literal = np.zeros(len(typed[1]), bool)  # words of items with which literal windows begin
+    for form in (PLAIN, OPENERS, LITERAL) if sizes is None else sizes:
         token, kind, value, bounds, word = _form(typed, len(offsets) - 1, form)
         own = np.minimum(np.diff(bounds), SIZE)
+        if sizes is None and form == PLAIN:
+            poor = np.flatnonzero(_poor(kind, bounds, own))
+            literal[begin[np.searchsorted(bounds, poor, "right") - 1] + word[poor]] = True
+            literal |= np.repeat(own < SHORTEST, n_words)
         slot = np.where(kind == WORD, np.uint64(0), value | np.uint64(1))
         fixed = np.concatenate([[0], np.cumsum(kind == WORD)])
         for size in sorted(set(own[own >= SHORTEST].tolist())) if sizes is None else sizes[form]:
@@ -162,6 +185,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, .
             if sizes is None:
                 inside &= own[doc] == size
             at, doc = at[inside], doc[inside]
+            if sizes is None and form == LITERAL:
+                at, doc = at[literal[at]], doc[literal[at]]
             yield form, size, doc, at - bounds[doc], word[at], hashes[at], slot[at[:, None] + np.arange(size)[None, :]]
 
 
@@ -191,7 +216,7 @@ def _window_rows(source: DataFrame, sizes: dict[int, tuple[int, ...]] | None, wa
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, n_windows matched, item_windows, coverage, n_slots and n_changed of each contaminated pair.
 
-    The windows are those of one template or of both, whichever gives the larger share. ``n_slots`` and ``n_changed``
+    The windows are those of one template or all, whichever gives the largest share. ``n_slots`` and ``n_changed``
     are those of the alignment with most windows; ``n_changed`` counts the values that differ, all consistently: 0 for a
     verbatim copy.
     """

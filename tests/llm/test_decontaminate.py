@@ -97,3 +97,16 @@ def test_renamed_sentence_openers(spark, documents):
     # A name after the end of a sentence is not one with the name before it, and one of several words is one name.
     two = "Yesterday evening they all met Maria Lopez. Tom Miller has 3 large boxes with 5 red apples and gives 2 away."
     assert set(found(documents, spark, [(6, two.replace("Tom Miller", "Li").replace("Maria Lopez", "Jan"))], [(8, two)])) == {(6, 8)}
+
+
+def test_items_of_numbers_and_names_are_searched_for(spark, documents):
+    sums, title, year = "Compute 12 + 45 - 7 * 3 / 9", "Beren Met Luthien Near Doriath", "In 1999, 2001, 2003, 2005, 2007 and 2011"
+    docs = [(1, f"a sheet of sums: please {sums} and so on"), (2, sums.replace("45", "46")), (3, f"as told, {title}."), (4, "Beren Met Luthien Near Gondolin"), (5, f"seen.\n{year}"), (6, "x")]
+    out = found(documents, spark, docs, [(1, sums), (2, title), (3, year), (4, "12 34 56 78"), (5, "1 2 3 4 5")])
+    assert set(out) == {(1, 1), (3, 2), (5, 3)}
+    assert all(r.coverage == 1.0 and r.n_changed == 0 for r in out.values())
+    # Literal windows do not hide a copy with other values: that is judged by the share of template windows.
+    long = f"the first list of numbers to be added up is {' '.join(str(i) for i in range(100, 130))}"
+    other = long.replace(" 1", " 2")
+    row = found(documents, spark, [(1, long), (2, other)], [(7, long)])
+    assert set(row) == {(1, 7), (2, 7)} and row[1, 7].n_windows > row[2, 7].n_windows
