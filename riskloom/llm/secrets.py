@@ -2,17 +2,21 @@
 
 A value behind a credential word (``password: x``, ``pwd=x``, ``the token is x``) is split into words,
 dates, repeats, keyboard walks and brute-force characters. A dynamic programme finds the split with
-the fewest guesses. Values that cost much are spans of kind ``guess``; placeholders, words, dates and
-walks are cheap and are left alone.
+the fewest guesses. Every value is judged by it. Values that cost much are spans of kind ``guess``; placeholders,
+words, dates and walks are cheap and are left alone. A value of letters alone that reads like a word of some language is
+one pick from a large dictionary, and dearer if it is longer than most words.
 
-Defined results: a null or empty text has no spans; spans never cross documents; overlapping values
-are reported once, base spans first; repeated rows give repeated results; other columns are kept out.
+Defined results: a null or empty text has no spans; spans never cross documents; values inside base spans are reported
+once, as base spans, and those that reach further are spans beside them; repeated rows give repeated results; other
+columns are kept out.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,9 +33,11 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # whole runs, as [0-9a-f]+ takes them, of 32
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
+# Short words follow a character that is no letter, or an edge as in ``dbPass`` and ``OAuth``; the others any character.
 CONTEXT = re.compile(
-    r"\b(pass(?:word|wd|phrase|code)?|pwd|pw|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|"
-    r"auth(?:orization)?|bearer|login)[\"']?(?:\s{0,8}(?:=>|->|:=|[:=])|\s{1,8}is)\s{0,8}[\"'`]?([^\s\"'`<>]+)",
+    r"(passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|"
+    r"(?:(?<![a-z])|(?<=(?-i:[a-z]))(?=(?-i:[A-Z]))|(?<=(?-i:[A-Z]))(?=(?-i:[A-Z][a-z])))"
+    r"(?:pass|pw|auth(?:orization)?|bearer|login))[\"']?(?:\s*(?:=>|->|:=|[:=])|\s+is)\s*[\"'`]?([^\s\"'`<>]+)",
     re.IGNORECASE | re.ASCII,
 )
 CONTEXT_WORDS = (
@@ -61,6 +67,20 @@ YEAR_COST = math.log10(120)
 JOIN_COST = math.log10(4)  # each further part of a value multiplies the guesses
 LEAST_LOG10 = 8.0
 
+# Words outside the list: each letter with those that follow it in words of European languages.
+FOLLOWS = (
+    "aabcdefgijklmnopqrstuvwxyz babcdeijlmnoprstuvy cacehikloqrstuy dabdefgijlmnorstuvwxyz eabcdefghijklmnopqrstuvwxyz fabefijlorstuy "
+    "gabdeghiklmnorstuyz habefiklmnorstuwy iabcdefghijklmnopqrstuvwxz jadeosu kadeilnoprstuwy lacdefghijlnoprstuvyz "
+    "mabefhilmnopstuy nacdefghijklmnopqrstuvwyz oabcdefghijklmnoprstuvwxyz pabcdefhikloprstuwy qu racdefghijklmnopqrstuvwyz "
+    "sabcdefghiklmnopqrstuvwyz tabcdefghijlmnoprstuwyz uabcdefghijlmnopqrstuvwxyz vaeioruy wadehiklmnorstuy xacehioptu "
+    "yabcdegilmnoprstvwxz zabegilnotuwyz"
+)
+PAIRS = {group[0] + after for group in FOLLOWS.split() for after in group[1:]}
+NO_VOWELS = re.compile(r"[bcdfghjklmnpqrstvwxz]{6}")
+DICTIONARY_COST = 6.0
+USUAL_LENGTH = 12
+LENGTH_COST = 0.25  # for each letter beyond the usual length
+
 
 def _character(c: str) -> float:
     """Guesses for one brute-force character, as a power of ten."""
@@ -114,6 +134,17 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+def word_cost(value: str) -> float:
+    """log10 of the guesses of a value that reads like a word: letters of one case or with a capital first, in usual pairs."""
+    if not value.isalpha() or not (value[1:].islower() or value.isupper()):
+        return math.inf
+    plain = "".join(c for c in unicodedata.normalize("NFD", value.casefold()) if not unicodedata.combining(c))
+    unusual = any(a.isascii() and b.isascii() and a + b not in PAIRS for a, b in zip(plain, plain[1:]))
+    if unusual or NO_VOWELS.search(plain):
+        return math.inf
+    return DICTIONARY_COST + LENGTH_COST * max(0, len(value) - USUAL_LENGTH)
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by start and then kind."""
     spans = []
@@ -127,22 +158,24 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def guess_spans(text: str, base: list[tuple[str, int, int]], least: float = LEAST_LOG10) -> list[tuple[int, int, float]]:
-    """Values in credential context that cost 10**least guesses or more and lie outside the base spans."""
+    """Values in credential context that cost 10**least guesses or more and reach beyond the base spans."""
     lower = text.lower()
     if not any(word in lower for word in CONTEXT_WORDS):
         return []
-    found, taken = [], sorted((s, e) for _, s, e in base)
+    found, taken = [], []
+    for s, e in sorted((s, e) for _, s, e in base):  # base spans that overlap or touch are one
+        if taken and s <= taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
     for m in CONTEXT.finditer(text):
         start, end = m.span(2)
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
-        if end - start < 6 or any(s < end and start < e for s, e in taken):
-            continue
-        value = text[start:end]
-        # Only letters is a word of some language, unless upper and lower case alternate within it.
-        if value.isalpha() and (value[1:].islower() or value.isupper()):
+        at = bisect.bisect_right(taken, (start, len(text))) - 1
+        if end == start or (at >= 0 and end <= taken[at][1]):
             continue
-        cost = guess_cost(value)
+        cost = min(guess_cost(text[start:end]), word_cost(text[start:end]))
         if cost >= least:
             found.append((start, end, cost))
     return found

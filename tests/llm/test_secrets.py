@@ -78,3 +78,21 @@ def test_redaction_keeps_the_rest(documents):
 
 def test_empty_table(documents):
     assert secrets.report(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("text, value", [
+    ("DB_PWD=xK9#vQ2$mm", "xK9#vQ2$mm"), ("SMTP_PASS=xK9#vQ2$mm", "xK9#vQ2$mm"), ("my_passphrase: xK9#vQ2$mm", "xK9#vQ2$mm"), ("DB_PASSWORD=abc!Xq9#kk", "abc!Xq9#kk"),
+    ("smtpPass = xK9#vQ2$mm", "xK9#vQ2$mm"), ("OAuth: xK9#vQ2$mm", "xK9#vQ2$mm"), ("DBPASSWORD=abc!Xq9#kk", "abc!Xq9#kk"), ("pwd" + " " * 40 + "=" + "\n" * 40 + "xK9#vQ2$mm", "xK9#vQ2$mm"),
+    ("pwd=qzjxkvwpbmfhtr", "qzjxkvwpbmfhtr"), ("PWD=QZJXKVWPBMFHTR", "QZJXKVWPBMFHTR"), ("password=Summer2024!Xq9#kk", "Summer2024!Xq9#kk"),
+])
+def test_every_context_value_is_scored(text, value):
+    start = text.index(value)
+    assert ("guess", start, start + len(value)) in [s[:3] for s in secrets.scan(text)]
+    assert value[-4:] not in secrets.redact(text)
+
+
+def test_words_of_prose_are_left_alone():
+    for text in ("the bypass: xK9#vQ2$mm", "the password is stored here", "login: authentication", "the secret is Überraschung", "login: understanding", "PWD: ENCRYPTED", "mot de passe, secret: mystérieusement"):
+        assert secrets.scan(text) == [], text
+    assert secrets.scan("token=" + "kobadeti" * 4)[-1][0] in ("assign", "guess") and secrets.scan("the pwd is " + "kobadeti" * 4) != []
+    assert secrets.redact("password=Summer2024!Xq9#kk and more") == "<assign> and more"
