@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, jaccard, packing, pages, quality, repeats, secrets, tokens, toxicity, vptree
+from riskloom.llm import decontaminate, hardneg, jaccard, packing, pages, quality, repeats, secrets, tokens, toxicity, vptree, whiten
 
 
 VOCABULARY = 49_408  # ids of word_bpe_49k.json
@@ -61,11 +61,19 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hardneg.mine(hardneg.usable(table(spark, sf, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_main_text, op3_best_fit_packing, op4_quality_classifier, op5_jaccard_join, op6_nearest_neighbours,
-        op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination,
+        op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination, op11_whitening, op12_hard_negatives,
     )
 }
 # Exact search: every inner product in double precision. Vectors that take no part are left out on both sides.
@@ -83,4 +91,25 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    # All scores as whole numbers; an anchor's own row is told by its place in the table.
+    "op12_hard_negatives": """
+        WITH numbered AS (SELECT *, row_number() OVER () AS nr FROM embeddings),
+        v AS (
+            SELECT nr, vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS e
+            FROM numbered
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scores AS (
+            SELECT a.nr AS anchor, a.id AS anchor_id, a.label = c.label AS same, c.id AS id,
+                   CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.id % 50 = 0 AND a.nr <> c.nr AND len(a.e) = len(c.e)
+        ), positives AS (
+            SELECT anchor, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS nth
+            FROM scores WHERE same QUALIFY nth <= 5
+        )
+        SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+               n.id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+        QUALIFY rank <= 3
+    """,
 }
