@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, hardneg, jaccard, packing, pages, quality, repeats, secrets, tokens, toxicity, vptree, whiten
+from riskloom.llm import decontaminate, hardneg, jaccard, packing, pages, quality, repeats, secrets, tokens, toxicity, vptree, warc, whiten
 
 
 VOCABULARY = 49_408  # ids of word_bpe_49k.json
@@ -69,11 +69,15 @@ def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hardneg.mine(hardneg.usable(table(spark, sf, "embeddings")))
 
 
+def op13_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_main_text, op3_best_fit_packing, op4_quality_classifier, op5_jaccard_join, op6_nearest_neighbours,
-        op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination, op11_whitening, op12_hard_negatives,
+        op7_token_files, op8_repeated_bytes, op9_toxicity, op10_decontamination, op11_whitening, op12_hard_negatives, op13_warc,
     )
 }
 # Exact search: every inner product in double precision. Vectors that take no part are left out on both sides.
@@ -112,4 +116,15 @@ ORACLE = {
         FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
         QUALIFY rank <= 3
     """,
+    # Base 32 from the hexadecimal digest: each five hexadecimal digits hold four digits of base 32.
+    "op13_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+        g AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS leader FROM p)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest,
+               CASE WHEN leader IS NULL OR leader = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN leader <> page_id OR page_id IS NULL THEN leader END AS refers_to
+        FROM g
+    """,
 }
