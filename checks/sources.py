@@ -1,5 +1,6 @@
 """Sources and sinks: whole tables are written in each raw format by Spark, then read back."""
 
+import gzip
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -317,8 +318,20 @@ def snk_05(spark, sf):
     return before.join(after, "doc_id").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("p1") != F.col("p2")).alias("changed"))
 
 
+def _cut_archive(spark, folder, name):
+    """Put a gzip file of blank lines that lacks its end among the files of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(gzip.compress(b"\n" * 5000)[:-9])
+    out.close()
+    return folder
+
+
 def _collections(spark, sf):
-    """Documents dealt out to three raw collections; labels and groups follow from the text, so that copies agree in them."""
+    """Documents dealt out to three raw collections; labels and groups follow from the text, so that copies agree in them.
+
+    Each collection has a gzip file that is cut off, and the arrays one that is no JSON.
+    """
     docs = v.documents(spark, sf)
     size = F.length(text())
     lines = docs.filter(doc() % 3 == 0)
@@ -335,7 +348,10 @@ def _collections(spark, sf):
     safety = F.when(size % 2 == 1, F.lit("vulnerable")).otherwise(F.lit("safe"))
     rows = docs.filter(doc() % 3 == 2).select(text().alias("code"), safety.alias("safety"), F.lit("Java").alias("language"))
     rows.write.option("header", True).option("escape", '"').csv(table)
-    return {"codexglue": _write_lines(lines, record, F.when(doc() % 10 == 3, F.lit('{"func": '))), "megavul_java": arrays, "absent": "/nonexistent/folder", "cvefixes_zip": table}
+    found = {"codexglue": _write_lines(lines, record, F.when(doc() % 10 == 3, F.lit('{"func": '))), "megavul_java": arrays, "cvefixes_zip": table}
+    for folder in found.values():
+        _cut_archive(spark, folder, "zz.gz")
+    return {"codexglue": found["codexglue"], "megavul_java": arrays, "absent": "/nonexistent/folder", "cvefixes_zip": table}
 
 
 # A label of the JSON lines is text: decimals are none, as in the cleaner.
@@ -358,7 +374,7 @@ def prep_clean_table(spark, sf):
 
 @case("prep_clean_profile", f"""WITH {COLLECTED}, u AS (SELECT source, count(*) AS n, count_if(y = 0) AS a, count_if(y = 1) AS b FROM usable GROUP BY 1)
 SELECT g.source, CAST(count(*) AS BIGINT) AS input_records, CAST(max(u.n) AS BIGINT) AS usable_records, CAST(max(u.a) AS BIGINT) AS label_0, CAST(max(u.b) AS BIGINT) AS label_1,
-  CASE g.source WHEN 'codexglue' THEN (SELECT count(*) FROM documents WHERE doc_id % 3 = 0 AND doc_id % 10 = 3) WHEN 'megavul_java' THEN 1 ELSE 0 END AS errors FROM given g LEFT JOIN u USING (source) GROUP BY 1
+  CASE g.source WHEN 'codexglue' THEN (SELECT count(*) + 1 FROM documents WHERE doc_id % 3 = 0 AND doc_id % 10 = 3) WHEN 'megavul_java' THEN 2 ELSE 1 END AS errors FROM given g LEFT JOIN u USING (source) GROUP BY 1
 UNION ALL SELECT 'combined', count(*), count(DISTINCT code_hash), NULL, NULL, NULL FROM usable""")
 def prep_clean_profile(spark, sf):
     corpus = prepare.clean_corpus(spark, _collections(spark, sf))

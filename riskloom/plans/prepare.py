@@ -13,7 +13,7 @@ from riskloom.operators import dedup
 from riskloom.operators.profile import source_profile
 from riskloom.schemas import CLEAN, CVE_TREE
 from riskloom.session import settled, staged
-from riskloom.sources import nested, tables, text_lines
+from riskloom.sources import health, nested, tables, text_lines
 
 
 def cleaned_columns(df: DataFrame) -> DataFrame:
@@ -66,27 +66,31 @@ def _no_item() -> Column:
 def source_records(spark: SparkSession, source: str, path: str) -> DataFrame:
     """Standard records of one collection, and one row with ``refused`` set for each line or file that cannot be parsed.
 
+    A file that cannot be read to its end gives the records before the damage and one refused row; all other files are read.
+
     The name of the source decides the reader: ``megavul`` collections are arrays of CVE trees, ``cvefixes`` is a CSV
     file with code and safety, all others are JSON lines.
     """
+    broken = health.broken_files(spark, path)
     if source.startswith("megavul"):
-        read = text_lines.with_position(nested.json_array(spark, path, CVE_TREE, corrupt=True))
+        read = nested.json_array(spark, path, CVE_TREE, corrupt=True, position=True, broken=broken, **health.READ_ON)
         trees = nested.from_cve_tree(read.filter(F.col(nested.CORRUPT).isNull()).drop(nested.CORRUPT), item="item")
         good = trees.withColumn("is_vulnerable", F.col("is_vulnerable").cast("string"))
     elif source.startswith("cvefixes"):
-        read = text_lines.with_position(tables.quoted_csv(spark, path))
-        good = read.na.drop(subset=["code", "safety"]).withColumnsRenamed({"code": "raw_code", "safety": "is_vulnerable"})
+        read = tables.quoted_csv(spark, path, corrupt=True, position=True, broken=broken, **health.READ_ON)
+        good = read.filter(F.col(tables.CORRUPT).isNull()).na.drop(subset=["code", "safety"]).withColumnsRenamed({"code": "raw_code", "safety": "is_vulnerable"})
         good = good.withColumns({"group_id": F.lit(""), "item": _no_item()})
     else:
-        read = text_lines.json_lines(spark, path)
+        read = text_lines.json_lines(spark, path, **health.READ_ON)
         good = text_lines.standard_records(read, source).withColumn("item", _no_item())
     good = good.withColumn("refused", F.lit(False)).select(*RECORD)
-    if "_corrupt" not in read.columns:
-        return good
     kinds = dict(good.dtypes)
     # Spark does not read the corrupt column of JSON files alone, so a second column is looked at.
     looked = F.length(F.coalesce(F.col(read.columns[0]).cast("string"), F.lit(""))) >= 0
-    bad = read.filter(F.col("_corrupt").isNotNull() & looked).withColumn("refused", F.lit(True))
+    bad = read.filter(F.col("_corrupt").isNotNull() & looked).withColumn("refused", F.lit(True)).select("path", "row_pos", "refused")
+    if not source.startswith(("megavul", "cvefixes")):  # their readers tell of broken files themselves
+        place = F.struct(F.col("path"), F.lit((1 << 62)).cast("long").alias("split"), F.lit(0).cast("long").alias("row")).alias("row_pos")
+        bad = bad.unionByName(broken.select("path", place, F.lit(True).alias("refused")))
     return good.unionByName(bad.select(*[F.col(c) if c in ("path", "row_pos", "refused") else F.lit(None).cast(kinds[c]).alias(c) for c in RECORD]))
 
 

@@ -8,23 +8,64 @@ from pyspark.sql import types as T
 
 from riskloom.functions import normalise as n
 from riskloom.schemas import PAIRED
+from riskloom.session import settled
+from riskloom.sources import ranges
 
 
 CORRUPT = "_corrupt"
 
 
-def json_array(spark: SparkSession, path: str, schema: T.StructType = PAIRED, corrupt: bool = False) -> DataFrame:
-    """Objects of JSON array files. Such a file is read by one task: convert it once, below.
+def _balance(text: Column) -> Column:
+    """Opening less closing brackets of a text without strings."""
+    return F.length(F.translate(text, "}]", "")) - F.length(F.translate(text, "{[", ""))
 
-    With ``corrupt``, a file that is no JSON gives one row with its text in ``_corrupt`` and all else null.
+
+def json_array(spark: SparkSession, path: str, schema: T.StructType = PAIRED, corrupt: bool = False, position: bool = False, broken: DataFrame | None = None, **options: str) -> DataFrame:
+    """Objects of JSON array files, read in ranges by several tasks however large a file is; files of objects alone are read too.
+
+    Files are cut at closing braces. Whether a piece begins inside a string and how deep it is nested is carried across pieces and
+    ranges; a brace outside strings that leads back to the array's depth ends an object.
+
+    A row of nulls stands for each object that cannot be parsed and for each file that is not closed or goes on after its end; objects
+    before the damage are kept. With ``corrupt``, ``_corrupt`` has the text of such rows; with ``position``, ``path`` and ``row_pos``
+    (path, first byte of the range, place) sort in file order. Files that ``broken`` (path) names count as not closed.
     """
-    if corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    df = ranges.pieces(spark, path, "}", **options)
+    df = df.withColumn("_bare", F.regexp_replace("value", r"(?s)\\.", ""))  # escapes stand in strings only
+    rest = F.regexp_replace("_bare", r'^[^"]*("|\z)', "")
+    quotes = (F.length("_bare") - F.length(F.replace("_bare", F.lit('"'), F.lit("")))) % 2
+    outside = [F.regexp_replace(text, r'"[^"]*("|\z)', "") for text in (F.col("_bare"), rest)]
+    # The brace behind a piece closes something if the piece ends outside strings.
+    step = [(_balance(text) - F.when(quotes == h, 1).otherwise(0)).alias(f"step{h}") for h, text in enumerate(outside)]
+    df = settled(df.select("*", quotes.alias("quotes"), *step).drop("_bare"), {})
+    df = ranges.with_states(df, F.col("quotes"), 1 - F.col("quotes"))
+    df = df.withColumns({f"depth{h}": F.when(F.col(f"before{h}") == 0, F.col("step0")).otherwise(F.col("step1")) for h in (0, 1)})
+    starts = ranges.range_starts(df, ("depth",))
+    # A file that ends well has one brace too few behind its last piece, or none.
+    damaged = (F.col("final") != 0) | ~F.col("depth_final").isin(0, -1)
+    files = ranges.damaged_files(starts, damaged, broken)
+
+    df = ranges.at_range_start(df, starts)
+    depth = F.col("depth") + F.sum(F.when(F.col("before") == 0, F.col("step0")).otherwise(F.col("step1"))).over(ranges.upto())
+    base = F.when(F.col("opening").rlike(r"^[\s\x{FEFF}]*\["), 1).otherwise(0)
+    # No brace stands behind the last piece if that many bytes were read; a compressed file tells by what the piece is.
+    unclosed = F.when(F.col("read") == F.col("file_size"), False).when(F.col("read") == F.col("file_size") + 1, True).otherwise(F.col("value").rlike(r"^[\s\[\]]*\z"))
+    ends = (F.col("after") == 0) & (depth == base) & ~(ranges.last_piece() & unclosed)
+    found = ranges.records(df.withColumn("ends", ends).select(*ranges.RANGE, "row", "value", "ends"), "}", files)
+    found = found.filter("finished OR damaged OR NOT text RLIKE '^[\\\\s\\\\x{FEFF}]*\\\\[?\\\\s*\\\\]?\\\\s*$'")
+
+    body = F.when(F.col("finished"), F.regexp_replace(F.concat("text", F.lit("}")), r"^[\s\x{FEFF}]*[\[,]?\s*", "")).otherwise(F.col("text"))
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    # What is left over is no object even if it reads like one.
+    parsed = F.from_json(F.when(F.col("finished"), F.make_valid_utf8(body)).otherwise(F.concat(F.lit("!"), F.make_valid_utf8(body))), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    found = settled(found, {"r": parsed})
+    rows = found.select("r.*", "path", F.struct("path", "split", "row").alias("row_pos"))
+    rows = rows.withColumn(CORRUPT, F.when(F.col(CORRUPT).startswith("!"), F.expr(f"substring({CORRUPT}, 2)")).otherwise(F.col(CORRUPT)))
+    return rows.drop(*([] if corrupt else [CORRUPT]), *([] if position else ["path", "row_pos"]))
 
 
 def array_to_lines(spark: SparkSession, path: str, out: str, schema: T.StructType = PAIRED, files: int = 0) -> None:
-    """Rewrite JSON array files as splittable JSON lines, spread over ``files`` files if given."""
+    """Rewrite JSON array files as JSON lines, spread over ``files`` files if given."""
     rows = json_array(spark, path, schema)
     (rows.repartition(files) if files else rows).write.json(out)
 

@@ -2,20 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.schemas import CVEFIXES
+from riskloom.session import settled
+from riskloom.sources import ranges
 
 
-def quoted_csv(spark: SparkSession, path: str, schema: T.StructType = CVEFIXES) -> DataFrame:
-    """CSV with header and quoted multi-line fields.
+CORRUPT = "_corrupt"
+FORMAT = {"quote": '"', "escape": '"', "lineSep": "\n", "multiLine": "true"}
 
-    Line breaks inside quotes keep a file from being split: parallelism is one task per file.
+
+def header(spark: SparkSession, path: str, **options: str) -> list[str]:
+    """Column names of the first line of a CSV collection; its files share them."""
+    try:
+        return spark.read.options(**options, **{k: FORMAT[k] for k in ("quote", "escape")}).option("header", True).option("enforceSchema", False).csv(path).columns
+    except AnalysisException:  # no file, or files without a line
+        return []
+
+
+def _line_steps(value: Column) -> tuple[Column, Column]:
+    """Whether a line ends inside quotes, if it begins outside or inside them.
+
+    A quote opens a field only at the field's start, and a doubled quote is text; so a stray quote inside a plain field opens nothing.
     """
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
-    return reader.option("quote", '"').option("escape", '"').option("lineSep", "\n").csv(path)
+    doubled = F.replace(value, F.lit('""'), F.lit("\ue000"))
+    opens = r"(^|,)\x{E000}*\"[^\"]*"
+
+    def ends_inside(line: Column) -> Column:
+        return F.regexp_replace(line, opens + '"', "$1").rlike(opens + r"\z")
+
+    closed = F.regexp_replace(doubled, r'^[^"]*"', "+")  # the rest of the field, which no quote opens
+    return ends_inside(doubled).cast("long"), F.when(F.contains(doubled, F.lit('"')), ends_inside(closed)).otherwise(True).cast("long")
+
+
+def quoted_csv(spark: SparkSession, path: str, schema: T.StructType = CVEFIXES, corrupt: bool = False, position: bool = False, broken: DataFrame | None = None, **options: str) -> DataFrame:
+    """CSV with header and quoted multi-line fields, read in ranges by several tasks however large a file is.
+
+    Files are cut at line breaks; whether a line begins inside quotes is carried across lines and ranges, and a line that ends outside them
+    ends a record. Columns are found by their names in the header, and by their order if it has none of them; missing ones are null.
+
+    A row of nulls stands for a record that cannot be parsed and for a file that ends inside quotes. With ``corrupt``, ``_corrupt`` has the
+    text of such rows; with ``position``, ``path`` and ``row_pos`` (path, first byte of the range, place) sort in file order. Files that
+    ``broken`` (path) names count as ending inside quotes.
+    """
+    names = header(spark, path, **options)
+    by_name = {n.lower(): n for n in names if n}
+    found = [f for f in schema.fields if f.name.lower() in by_name]
+    if found:
+        in_file = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(names)])
+        place = {n.lower(): i for i, n in reversed(list(enumerate(names)))}
+    else:
+        in_file = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(schema.fields)])
+        place = {f.name.lower(): i for i, f in enumerate(schema.fields)}
+
+    df = ranges.pieces(spark, path, "\n", **options)
+    from0, from1 = _line_steps(F.col("value"))
+    df = settled(df, {"from0": from0, "from1": from1})
+    df = ranges.with_states(df, F.col("from0"), F.col("from1"))
+    starts = ranges.range_starts(df)
+    files = ranges.damaged_files(starts, F.col("final") != 0, broken)
+    lines = ranges.at_range_start(df, starts).withColumn("ends", F.col("after") == 0)
+    records = ranges.records(lines.select(*ranges.RANGE, "row", "value", "ends"), "\n", files)
+    text = F.regexp_replace(F.make_valid_utf8("text"), r"\r\z", "")
+    records = records.withColumn("text", text).filter((~F.col("first") | ~F.col("finished")) & (F.col("damaged") | (F.trim("text") != "")))
+
+    # A record that is not closed is not read as one.
+    wide = T.StructType([*in_file.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.when(F.col("finished"), F.from_csv("text", wide.simpleString()[7:-1].replace(":", " "), {**FORMAT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "maxCharsPerColumn": "-1"}))
+    records = settled(records, {"r": parsed})
+    # Fewer or more fields than the header has are no damage, as long as the quotes are right.
+    columns = [F.col(f"r.c{place[f.name.lower()]}").cast(f.dataType).alias(f.name) if f.name.lower() in place else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    bad = F.when(~F.col("finished"), F.col("text")).alias(CORRUPT)
+    where = [F.col("path"), F.struct("path", "split", "row").alias("row_pos")]
+    return records.select(*columns, *([bad] if corrupt else []), *(where if position else []))
 
 
 def safety_records(df: DataFrame, min_chars: int = 0) -> DataFrame:

@@ -32,24 +32,28 @@ def readable(spark: SparkSession, paths: dict[str, str]) -> dict[str, str]:
 ROW_BITS = 33  # in which a task numbers its rows
 
 
+def source_path() -> Column:
+    """The path of a row's file. Local paths are listed as file:///x but reported per row as file:/x."""
+    return F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Add ``path`` and ``row_pos`` (path, first byte of the split, row in the task), which sorts like sorted paths and their lines.
 
     Every part has its own whole number, so neither many files nor long ones wrap around.
     """
-    # Local paths are listed as file:///x but reported per row as file:/x.
-    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    path = source_path()
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     place = F.struct(path.alias("path"), F.col("_metadata.file_block_start").alias("split"), row.alias("row"))
     return df.select("*", path.alias("path"), place.alias("row_pos"))
 
 
-def json_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_LINE) -> DataFrame:
+def json_lines(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_LINE, **options: str) -> DataFrame:
     """Fields of each line, with path and position. Blank lines vanish, bad bytes become U+FFFD.
 
     A line that is not a JSON object keeps its row, with the text in ``_corrupt``.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.options(**options).text(path)
     lines = with_position(lines).withColumn("value", F.make_valid_utf8("value")).filter(~n.is_blank(F.col("value")))
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})

@@ -1,3 +1,4 @@
+import bz2
 import gzip
 import json
 import math
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup, vectorise
-from riskloom.plans.prepare import clean_table
-from riskloom.sources import files, nested, tables, text_lines
+from riskloom.plans.prepare import clean_corpus, clean_table
+from riskloom.sources import files, health, nested, tables, text_lines
 
 
 @pytest.fixture()
@@ -143,3 +144,35 @@ def test_positions_of_a_long_file_do_not_repeat(spark, tmp_path):
     placed = text_lines.with_position(spark.read.text(str(tmp_path)))
     counted = placed.agg(F.count_distinct("row_pos").alias("n"), F.max("row_pos.row").alias("last")).first()
     assert counted.n == lines and counted.last == lines - 1
+
+
+def test_broken_files_are_told(spark, folder):
+    data = "\n".join(json.dumps({"func": f"{CODE} {i}", "target": 1}) for i in range(2000)).encode()
+    packed = gzip.compress(data)
+    forms = {
+        "good.gz": packed, "two.gz": packed + gzip.compress(b"{}"), "padded.gz": packed + b"\0" * 700, "cut.gz": packed[:-9], "half.gz": packed[: len(packed) // 2], "flipped.gz": packed[:200] + b"\xff\x00\xff" + packed[203:],
+        "text.gz": b"no archive", "empty.gz": b"", "good.bz2": bz2.compress(data), "cut.bz2": bz2.compress(data)[:-20], "plain.json": data,
+    }
+    for name, content in forms.items():
+        (folder / name).write_bytes(content)
+    found = {Path(r.path).name: r.problem for r in health.broken_files(spark, str(folder)).collect()}
+    assert set(found) == {"cut.gz", "half.gz", "flipped.gz", "text.gz", "cut.bz2"}
+    assert found["half.gz"] == "truncated" and found["text.gz"].startswith("damaged")
+    assert health.broken_files(spark, str(folder / "plain.json")).collect() == []
+
+
+def test_good_files_are_read_beside_broken_ones(spark, folder):
+    lines = lambda a, b: "\n".join(json.dumps({"func": f"{CODE} {i}", "target": i % 2}) for i in range(a, b)).encode()
+    tree = lambda i: {"cve_id": f"C{i}", "commits": [{"commit_hash": "h", "files": [{"file_path": "p", "vulnerable_functions": [{"func_before": f"{CODE} tree {i}"}]}]}]}
+    arrays = [json.dumps([tree(i) for i in range(a, a + 300)]).encode() for a in (0, 300)]
+    tables_ = [("code,safety,language\n" + "".join(f'"{CODE} row {i}",safe,c\n' for i in range(a, a + 300))).encode() for a in (0, 300)]
+    for name, parts in {"lines": (lines(0, 300), lines(300, 600)), "megavul": arrays, "cvefixes": tables_}.items():
+        (folder / name).mkdir()
+        (folder / name / "a.gz").write_bytes(gzip.compress(parts[0]))
+        (folder / name / "b.gz").write_bytes(gzip.compress(parts[1], 0)[:-4000])
+        (folder / name / "c.gz").write_bytes(b"no archive")
+    corpus = clean_corpus(spark, {name: str(folder / name) for name in ("lines", "megavul", "cvefixes")})
+    profile = {r.source: (r.input_records, r.errors) for r in corpus.sources.collect()}
+    assert {name: errors for name, (_, errors) in profile.items()} == {"lines": 2, "megavul": 2, "cvefixes": 2}
+    assert all(300 < records < 600 for records, _ in profile.values())
+    assert corpus.table.count() == sum(records for records, _ in profile.values())
