@@ -113,23 +113,23 @@ def txt_06(spark, sf):
     return vectorise.vocabulary(_grams(spark, sf), "g", 3000, min_df=2, max_df=0.95)
 
 
-def _tfidf_sql(tf):
-    return f"""WITH {STATS}, v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + doc_count)::DOUBLE) + 1 AS idf FROM s WHERE doc_count >= 2 ORDER BY total_count DESC, term LIMIT 1000),
+def _tfidf_sql(tf, features):
+    return f"""WITH {STATS}, v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + doc_count)::DOUBLE) + 1 AS idf FROM s WHERE doc_count >= 2 ORDER BY total_count DESC, term LIMIT {features}),
 t AS (SELECT doc_id, g AS term, CAST(count(*) AS BIGINT) AS tf FROM g GROUP BY ALL), x AS (SELECT doc_id, term, tf, {tf} * idf AS w FROM t JOIN v USING (term))
 SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x"""
 
 
-@case("txt_07_tfidf", _tfidf_sql("tf"))
+@case("txt_07_tfidf", _tfidf_sql("tf", 3000))
 def txt_07(spark, sf):
     grams = _grams(spark, sf)
-    model = vectorise.fit_tfidf(grams, "g", 1000, min_df=2)
+    model = vectorise.fit_tfidf(grams, "g", 3000, min_df=2)
     return model.long(grams, "g", "doc_id").withColumn("weight", F.round("weight", 6))
 
 
-@case("txt_07_tfidf_sublinear", _tfidf_sql("(1 + ln(tf))"))
+@case("txt_07_tfidf_sublinear", _tfidf_sql("(1 + ln(tf))", 5000))
 def txt_07_sublinear(spark, sf):
     grams = _grams(spark, sf)
-    model = vectorise.fit_tfidf(grams, "g", 1000, min_df=2, sublinear=True)
+    model = vectorise.fit_tfidf(grams, "g", 5000, min_df=2, sublinear=True)
     return model.long(grams, "g", "doc_id").withColumn("weight", F.round("weight", 6))
 
 

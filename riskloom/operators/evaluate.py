@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from riskloom import fixed_values as fixed
 from riskloom.functions import risk
 from riskloom.operators.weighting import class_sizes
+from riskloom.session import staged
 
-CURVE_SLICES = 128
+RANGE_SCORES = 100_000  # distinct scores that one task runs over
 
 
 def confusion(df: DataFrame, by: Sequence[str] = (), label: str = "is_vulnerable", prediction: str = "prediction") -> DataFrame:
@@ -55,7 +56,8 @@ def segment_metrics(df: DataFrame, segment: str, digits: int | None = 4, **colum
 
 
 def score_counts(df: DataFrame, score: str = "probability", label: str = "is_vulnerable") -> DataFrame:
-    return df.groupBy(F.col(score).alias("score")).agg(
+    """Rows of each class for each distinct score. Rows without a score are on no curve; NaN is above all numbers, and -0.0 is 0.0."""
+    return df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
 
@@ -63,21 +65,20 @@ def score_counts(df: DataFrame, score: str = "probability", label: str = "is_vul
 def cumulative_counts(scores: DataFrame) -> DataFrame:
     """(score, pos, neg, tp, fp): counts at or above each distinct score.
 
-    Distinct scores are cut into equally filled slices. Slice totals, a table of at most
-    ``CURVE_SLICES + 1`` rows, give the offsets; the running sums inside the slices run in parallel.
+    A prefix scan: distinct scores are dealt out by ranges, as many as their number asks for; ranges are summed, a running sum over the
+    ranges gives what lies above each, and inside the ranges running sums go on from there. The ranges are written, because their limits
+    are sampled and would differ from one reading to the next.
     """
-    grid = F.array(*[F.lit(i / CURVE_SLICES) for i in range(1, CURVE_SLICES)])
-    bounds = scores.agg(F.percentile_approx("score", grid, 10_000)).scalar()
-    # The place of a score among the sorted bounds: one more than the number of bounds below it.
-    placed = F.array_position(F.sort_array(F.array_append(bounds, F.col("score"))), F.col("score"))
-    sliced = scores.withColumn("_slice", placed)
-    totals = sliced.groupBy("_slice").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    counted = staged(scores, "scores")
+    ranges = max(1, -(-counted.count() // RANGE_SCORES))
+    ranged = staged(counted.repartitionByRange(ranges, F.desc("score")).withColumn("_range", F.spark_partition_id()), "score-ranges")
+    totals = ranged.groupBy("_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
     offsets = totals.select(
-        "_slice", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p0"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n0")
+        "_range", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p0"), F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n0")
     )
-    running = Window.partitionBy("_slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sliced.join(F.broadcast(offsets), "_slice").select(
+    running = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.join(offsets, "_range").select(
         "score", "pos", "neg",
         (F.sum("pos").over(running) + F.col("_p0")).alias("tp"),
         (F.sum("neg").over(running) + F.col("_n0")).alias("fp"),
@@ -94,14 +95,14 @@ def roc_auc(df: DataFrame, score: str = "probability", label: str = "is_vulnerab
 
 def roc_curve(df: DataFrame, score: str = "probability", label: str = "is_vulnerable") -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, highest first, without the origin."""
-    n0, n1 = class_sizes(df, label)
+    n0, n1 = class_sizes(df.filter(F.col(score).isNotNull()), label)
     table = cumulative_counts(score_counts(df, score, label))
     return table.select(F.col("score").alias("threshold"), _over(F.col("fp"), n0).alias("fpr"), _over(F.col("tp"), n1).alias("tpr"))
 
 
 def precision_recall_curve(df: DataFrame, score: str = "probability", label: str = "is_vulnerable") -> DataFrame:
     """(threshold, precision, recall) for every distinct score."""
-    _, n1 = class_sizes(df, label)
+    _, n1 = class_sizes(df.filter(F.col(score).isNotNull()), label)
     table = cumulative_counts(score_counts(df, score, label))
     return table.select(
         F.col("score").alias("threshold"), _over(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"), _over(F.col("tp"), n1).alias("recall")

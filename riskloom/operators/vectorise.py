@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from riskloom import fixed_values as fixed
 from riskloom.functions.patterns import let
 from riskloom.operators.features import language_one_hot, structure
+from riskloom.session import staged
 
 WORD_2 = r"(?U)\b\w\w+\b"
 WORD_1 = r"(?U)\b\w+\b"
@@ -120,19 +121,58 @@ def term_counts(terms: Column) -> Column:
 
 
 def term_statistics(df: DataFrame, terms: str) -> DataFrame:
-    """(term, total_count, doc_count) over the corpus."""
-    counted = df.select(F.inline(term_counts(F.col(terms))))
-    return counted.groupBy("term").agg(F.sum("tf").alias("total_count"), F.count(F.lit(1)).alias("doc_count"))
+    """(term, total_count, doc_count) over the corpus. A text gives its terms once as they are and once each."""
+    return _statistics(_occurrences(df, terms))
+
+
+def _occurrences(df: DataFrame, terms: str) -> DataFrame:
+    """(term, total, doc): 1 in total for each term of a text, 1 in doc for each different one."""
+    both = F.array(
+        F.struct(F.col(terms).alias("terms"), F.lit(1).alias("total"), F.lit(0).alias("doc")),
+        F.struct(F.array_distinct(terms).alias("terms"), F.lit(0).alias("total"), F.lit(1).alias("doc")),
+    )
+    return df.select(F.inline(both)).select(F.explode("terms").alias("term"), "total", "doc")
+
+
+def _statistics(occurrences: DataFrame) -> DataFrame:
+    return occurrences.groupBy("term").agg(F.sum("total").alias("total_count"), F.sum("doc").alias("doc_count"))
+
+
+# A task sends at most so many bucket totals for each term asked for, however many terms it meets.
+BUCKETS_PER_TERM = 64
+FIRST_BUCKETS_PER_TERM = 4
 
 
 def vocabulary(df: DataFrame, terms: str, max_features: int, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
-    """The ``max_features`` most frequent terms, by total count and then by term."""
-    stats = term_statistics(df, terms)
-    if min_df > 1:
-        stats = stats.filter(F.col("doc_count") >= min_df)
-    if max_df < 1.0:
-        stats = stats.filter(F.col("doc_count") <= F.lit(max_df) * df.agg(F.count(F.lit(1))).scalar())
-    return stats.orderBy(F.desc("total_count"), "term").limit(max_features)
+    """The ``max_features`` most frequent terms, by total count and then by term.
+
+    Terms are counted by the bucket of their hash first. No term is more frequent than its bucket, so the exact counts of the terms in the
+    heaviest buckets show how frequent a term must be, and only buckets that reach this can hold others: mostly none, and then the
+    second pass was the last. The result is exact in any case.
+    """
+    buckets = 1 << max(10, (BUCKETS_PER_TERM * max_features - 1).bit_length())
+    place = F.pmod(F.xxhash64("term"), F.lit(buckets)).alias("bucket")
+    heavy = df.select(F.explode(terms).alias("term")).groupBy(place).agg(F.count(F.lit(1)).alias("n"))
+    heavy = staged(heavy, "term-buckets")  # at most ``buckets`` rows
+    most = df.agg(F.count(F.lit(1))).scalar() if max_df < 1.0 else None
+
+    def exact(chosen: DataFrame) -> DataFrame:
+        # The set of chosen buckets has at most ``buckets`` numbers, so it is sent to all tasks.
+        kept = _occurrences(df, terms).withColumn("bucket", place).join(F.broadcast(chosen.select("bucket")), "bucket", "left_semi")
+        stats = _statistics(kept)
+        if min_df > 1:
+            stats = stats.filter(F.col("doc_count") >= min_df)
+        if max_df < 1.0:
+            stats = stats.filter(F.col("doc_count") <= F.lit(max_df) * most)
+        return stats.orderBy(F.desc("total_count"), "term").limit(max_features)
+
+    first = heavy.orderBy(F.desc("n"), "bucket").limit(max(1, int(FIRST_BUCKETS_PER_TERM * max_features)))
+    found = staged(exact(first), "vocabulary")
+    least = found.agg(F.count(F.lit(1)).alias("n"), F.min("total_count").alias("least")).first()
+    needed = least["least"] if least["n"] == max_features else 1
+    if heavy.filter(F.col("n") >= needed).count() <= first.count():
+        return found.orderBy(F.desc("total_count"), "term")
+    return exact(heavy.filter(F.col("n") >= needed))
 
 
 class TfidfModel:

@@ -98,3 +98,28 @@ def test_scores_on_thresholds_reach_them(spark):
     sweep = {r.step: r.recall for r in evaluate.threshold_sweep(rows, digits=None).collect()}
     positive = np.array(scores)[1::2]
     assert sweep == {i: (positive >= t).sum() / len(positive) for i, t in enumerate(grid)}
+
+
+def test_a_million_scores_in_a_narrow_interval(spark):
+    """Running sums against closed forms; scores differ in their last bits only."""
+    n = 1_000_000
+    rows = spark.range(n).select(((F.col("id") * 7919) % n).alias("i")).select(
+        "i", (0.5 + F.col("i").cast("double") * 2.0**-50).alias("score"), (F.col("i") % 3 == 0).cast("long").alias("pos"), (F.col("i") % 3 != 0).cast("long").alias("neg"))
+    table = evaluate.cumulative_counts(rows.select("score", "pos", "neg")).withColumn("i", F.round((F.col("score") - 0.5) * 2.0**50).cast("long"))
+    # Multiples of three from i to n - 1.
+    tp = F.lit((n - 1) // 3) - F.floor((F.col("i") - 1) / 3.0)
+    wrong = table.filter((F.col("tp") != tp) | (F.col("fp") != F.lit(n) - F.col("i") - tp))
+    assert table.count() == n and wrong.count() == 0
+
+
+def test_ranges_follow_the_number_of_scores(spark, monkeypatch):
+    monkeypatch.setattr(evaluate, "RANGE_SCORES", 7)
+    rows = [(i % 2, round(((i * 7919) % 101) / 101, 3)) for i in range(500)] + [(1, None), (0, None), (1, float("nan")), (0, 0.0), (1, -0.0)]
+    df = table(spark, rows)
+    scored = [(y, math.inf if p != p else p) for y, p in rows if p is not None]
+    for r in evaluate.roc_curve(df).collect():
+        t = math.inf if r.threshold != r.threshold else r.threshold
+        assert r.tpr == pytest.approx(sum(y == 1 and p >= t for y, p in scored) / sum(y == 1 for y, _ in scored))
+        assert r.fpr == pytest.approx(sum(y == 0 and p >= t for y, p in scored) / sum(y == 0 for y, _ in scored))
+    assert evaluate.roc_curve(df).count() == len({p for _, p in scored})
+    assert evaluate.cumulative_counts(evaluate.score_counts(table(spark, [(1, None)]).withColumn("probability", F.lit(None).cast("double")))).collect() == []

@@ -3,6 +3,7 @@ import gzip
 import json
 import math
 import tempfile
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -176,3 +177,19 @@ def test_good_files_are_read_beside_broken_ones(spark, folder):
     assert {name: errors for name, (_, errors) in profile.items()} == {"lines": 2, "megavul": 2, "cvefixes": 2}
     assert all(300 < records < 600 for records, _ in profile.values())
     assert corpus.table.count() == sum(records for records, _ in profile.values())
+
+
+@pytest.mark.parametrize("first", [4, 0.01])
+def test_vocabulary_is_exact_however_few_buckets_come_first(spark, monkeypatch, first):
+    """Many terms in few buckets, so that rare terms hide in heavy buckets and ties stand at the cut."""
+    monkeypatch.setattr(vectorise, "BUCKETS_PER_TERM", 1)
+    monkeypatch.setattr(vectorise, "FIRST_BUCKETS_PER_TERM", first)
+    docs = [[f"t{(i * i + k * 7) % (11 + i % 397)}" for k in range(i % 23)] for i in range(900)]
+    df = spark.createDataFrame([(d,) for d in docs], "g array<string>")
+    totals, spread = Counter(t for d in docs for t in d), Counter(t for d in docs for t in set(d))
+    for size, low, high in ((100, 1, 1.0), (200, 30, 1.0), (100, 2, 0.05), (10_000, 1, 1.0)):
+        fits = [t for t in totals if spread[t] >= low and spread[t] <= high * len(docs)]
+        expected = sorted(fits, key=lambda t: (-totals[t], t))[:size]
+        rows = vectorise.vocabulary(df, "g", int(size), low, high).collect()
+        assert [(r.term, r.total_count, r.doc_count) for r in rows] == [(t, totals[t], spread[t]) for t in expected]
+    assert vectorise.vocabulary(df.limit(0), "g", 5).collect() == []
