@@ -3,14 +3,15 @@
 import gzip
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from checks import text as text_checks
 from checks import views as v
 from riskloom import fixed_values as fixed
 from riskloom import schemas
 from riskloom.functions import normalise as n
-from riskloom.operators import dedup, modelling, profile, validation
-from riskloom.operators.weighting import balanced_weights
+from riskloom.operators import dedup, modelling, profile, validation, vectorise
 from riskloom.plans import prepare
 from riskloom.session import shared_dir
 from riskloom.sources import files, nested, sinks, tables, text_lines
@@ -303,19 +304,23 @@ def snk_04(spark, sf):
     return summary.withColumn("detail_rows", spark.read.parquet(f"{path}/details").agg(F.count(F.lit(1))).scalar())
 
 
-@case("snk_05_model_roundtrip", """SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS changed FROM documents""")
+# Coefficients of a logistic model over structural and security counts, and its intercept.
+SCORE_WEIGHTS = {"ast_node_count": 0.001, "ast_max_depth": -0.02, "ast_function_calls": 0.05, "ast_if_statements": 0.1, "sec_injection": 0.7, "sec_memory_mgmt": -0.3, "sec_safe_patterns": -0.4, "sec_safety_ratio": 0.9}
+SCORE_BASE = -0.75
+_CODE_SQL = {**text_checks.STRUCTURE_SQL, **text_checks.FAMILY_PAIRS}
+MARGIN_SQL = " + ".join(f"({w}) * CAST({_CODE_SQL[name]} AS DOUBLE)" for name, w in SCORE_WEIGHTS.items())
+
+
+@case("snk_05_model_roundtrip", f"""WITH {v.CORPUS} SELECT doc_id, round(1 / (1 + exp(-({SCORE_BASE} + {MARGIN_SQL}))), 9) AS probability FROM corpus""")
 def snk_05(spark, sf):
-    """A saved and reloaded model must score every document as before."""
-    from riskloom.operators.vectorise import feature_pipeline
-    rows = v.documents(spark, sf).withColumns({"code_length": n.char_length(text()), "line_count": n.nonblank_lines(text())})
-    labels = v.table(spark, sf, "labels").select("doc_id", F.col("toxic").alias("is_vulnerable"))
-    estimator = modelling.model_pipeline(modelling.logistic(maxIter=10), buckets=2**12)
-    model = modelling.fit(estimator, balanced_weights(rows.join(labels, "doc_id")))
+    """A saved and reloaded pipeline of own and Spark stages must score every document as the closed form of its coefficients does."""
+    rows = v.corpus(spark, sf)
+    blocks = ("structure", "security")
+    found = vectorise.SyntacticFeatures.fit(rows, 50, min_df=2, sublinear=True, blocks=blocks)
+    classifier = modelling.fixed_logistic(spark, [SCORE_WEIGHTS.get(name, 0.0) for name in found.names], SCORE_BASE)
     path = shared_dir(spark, "model")
-    sinks.save_model(model, path)
-    before = modelling.score(model, rows).select("doc_id", F.col("probability").alias("p1"))
-    after = modelling.score(sinks.load_model(path), rows).select("doc_id", F.col("probability").alias("p2"))
-    return before.join(after, "doc_id").agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("p1") != F.col("p2")).alias("changed"))
+    sinks.save_model(PipelineModel([*found.model.stages, classifier]), path)
+    return modelling.score(sinks.load_model(path), rows).select("doc_id", F.round("probability", 9).alias("probability"))
 
 
 def _cut_archive(spark, folder, name):

@@ -1,11 +1,18 @@
 """Tokens, n-grams, vocabularies, weights and encodings."""
 
+import json
+
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from checks import features
 from checks import views as v
+from riskloom import fixed_values as fixed
 from riskloom.functions import normalise as n
-from riskloom.operators import vectorise
+from riskloom.operators import stages, vectorise
+from riskloom.session import shared_dir
+from riskloom.sources import sinks
 
 CASES = {}
 
@@ -92,8 +99,8 @@ def txt_04(spark, sf):
 @case("txt_05_hashing_vectors", f"""WITH w AS (SELECT doc_id, {WORDS} AS w FROM documents)
 SELECT doc_id, CAST(len(w) + greatest(len(w) - 1, 0) AS BIGINT) AS terms, CASE WHEN len(w) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm FROM w""")
 def txt_05(spark, sf):
-    stages = Pipeline(stages=vectorise.hashing_stages("text", "hashed"))
-    rows = stages.fit(_docs(spark, sf)).transform(_docs(spark, sf))
+    hashing = Pipeline(stages=vectorise.hashing_stages("text", "hashed"))
+    rows = hashing.fit(_docs(spark, sf)).transform(_docs(spark, sf))
     total = lambda c, f: F.aggregate(F.unwrap_udt(c)["values"], F.lit(0.0), f)
     return rows.select(
         "doc_id", total("hashed_tf", lambda a, x: a + x).cast("bigint").alias("terms"), F.round(F.sqrt(total("hashed", lambda a, x: a + x * x)), 6).alias("norm"))
@@ -151,10 +158,34 @@ def txt_09(spark, sf):
     return scaled.select("doc_id", F.round("code_length_scaled", 6).alias("code_length_scaled"), F.round("code_lines_scaled", 6).alias("code_lines_scaled"))
 
 
-@case("txt_10_assembled", f"""SELECT doc_id, CAST(16384 + (SELECT count(DISTINCT lang) + count(DISTINCT source) FROM documents) + 2 AS BIGINT) AS slots FROM documents""")
+MILLIONTHS = "CAST(sum(CAST(round(1000000 * x) AS BIGINT)) AS BIGINT)"
+STRUCTURE_SQL = dict(zip(stages.STRUCTURE, (features.WORDS_SQL, features.INDENT_SQL, features.POINTER_OPS_SQL, features.CALLS_SQL, features.LOOPS_SQL, features.IFS_SQL)))
+FAMILY_PAIRS = {f"sec_{name}": features.sql_total(patterns) for name, patterns in fixed.FAMILIES.items()}
+SAFE_SQL = features.sql_total(fixed.SAFE_SIGNALS)
+FAMILY_PAIRS |= {"sec_safe_patterns": SAFE_SQL, "sec_safety_ratio": f"({SAFE_SQL}) / ({' + '.join(FAMILY_PAIRS.values())} + 1)::DOUBLE"}
+
+
+def _named_values(columns):
+    """SQL of a list of (name, value) of some columns."""
+    return "[" + ", ".join(f"{{'name': '{name}', 'x': CAST({sql} AS DOUBLE)}}" for name, sql in columns.items()) + "]"
+
+
+@case("txt_10_assembled", f"""WITH {v.CORPUS}, w AS (SELECT doc_id, {WORDS.replace('text', 'raw_code')} AS w FROM corpus), g AS ({_grams_sql('w', 2)}),
+s AS (SELECT g AS term, count(*) AS total_count, count(DISTINCT doc_id) AS doc_count FROM g GROUP BY g),
+t AS (SELECT term, ln((1 + (SELECT count(*) FROM corpus)) / (1 + doc_count)::DOUBLE) + 1 AS idf FROM s WHERE doc_count >= 2 ORDER BY total_count DESC, term LIMIT 500),
+c AS (SELECT doc_id, g AS term, count(*) AS tf FROM g GROUP BY ALL), x AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM c JOIN t USING (term)),
+u AS (SELECT term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS x FROM x),
+f AS (SELECT {_named_values(STRUCTURE_SQL)} AS xs FROM corpus UNION ALL SELECT {_named_values(FAMILY_PAIRS)} FROM corpus),
+l AS (SELECT unnest(xs) AS e FROM f)
+SELECT 'tfidf__' || term AS slot, {MILLIONTHS} AS total FROM u GROUP BY 1
+UNION ALL SELECT e.name, {MILLIONTHS.replace('* x', '* e.x')} FROM l GROUP BY 1""")
 def txt_10(spark, sf):
-    """Every document gets one vector of all blocks; its width is the sum of the block widths."""
-    docs = v.documents(spark, sf)
-    rows = docs.withColumns({"code_length": n.char_length(F.col("raw_code")), "line_count": n.nonblank_lines(F.col("raw_code"))})
-    model = vectorise.feature_pipeline(2**14).fit(rows)
-    return model.transform(rows).select("doc_id", F.unwrap_udt("features")["size"].cast("bigint").alias("slots"))
+    """The sum of every slot of the assembled vectors, under its name, after the fitted pipeline was saved and read back."""
+    docs = v.corpus(spark, sf)
+    found = vectorise.SyntacticFeatures.fit(docs, 500, min_df=2, sublinear=True, blocks=("structure", "security"))
+    path = shared_dir(spark, "features")
+    sinks.save_model(found.model, path)
+    found = vectorise.SyntacticFeatures(sinks.load_model(path))
+    names = F.from_json(F.lit(json.dumps(found.names)), "array<string>")
+    slots = found.transform(docs).select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    return slots.groupBy("slot").agg(F.sum(F.round(1_000_000 * F.col("x")).cast("bigint")).alias("total")).select(F.get(names, F.col("slot")).alias("slot"), "total")

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import itertools
 import random
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
@@ -52,8 +55,16 @@ def linear_svc(**params) -> LinearSVC:
     return LinearSVC(labelCol=LABEL, weightCol=WEIGHT, **{"regParam": 1.0, "maxIter": 100, **params})
 
 
-def model_pipeline(classifier: Estimator, buckets: int = 2**18) -> Pipeline:
-    return Pipeline(stages=[*feature_pipeline(buckets).getStages(), classifier])
+def model_pipeline(classifier: Estimator, buckets: int = 2**18, **options) -> Pipeline:
+    """A classifier behind the features of hashed text; options as ``feature_pipeline`` takes them."""
+    return Pipeline(stages=[*feature_pipeline(buckets, **options).getStages(), classifier])
+
+
+def fixed_logistic(spark: SparkSession, coefficients: Sequence[float], intercept: float = 0.0, features: str = "features") -> LogisticRegressionModel:
+    """A logistic model of given coefficients, to score with weights that were fitted elsewhere. It can be saved like a fitted one."""
+    vector = _py2java(spark.sparkContext, Vectors.dense([float(c) for c in coefficients]))
+    made = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(f"LogisticRegression_{uuid.uuid4().hex[:12]}", vector, float(intercept))
+    return LogisticRegressionModel(made).setFeaturesCol(features)
 
 
 def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:

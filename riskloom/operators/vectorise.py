@@ -11,7 +11,7 @@ import json
 import math
 import unicodedata
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, HashingTF, NGram, Normalizer, OneHotEncoder, RegexTokenizer, SQLTransformer, StringIndexer,
     VectorAssembler, VectorSizeHint,
@@ -22,9 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom import fixed_values as fixed
 from riskloom.functions.patterns import let
-from riskloom.operators.features import language_one_hot, structure
 from riskloom.session import staged
 
 WORD_2 = r"(?U)\b\w\w+\b"
@@ -225,7 +223,7 @@ class TfidfModel:
             )
         )
         vector = F.from_json(body, T.StructType([T.StructField("v", VectorUDT())]))["v"]
-        return parts.withColumn(name, vector).drop("_tf", "_w", "_norm")
+        return VectorSizeHint(inputCol=name, size=len(self.terms)).transform(parts.withColumn(name, vector).drop("_tf", "_w", "_norm"))
 
 
 def fit_tfidf(df: DataFrame, terms: str, max_features: int, min_df: int = 1, max_df: float = 1.0, sublinear: bool = False) -> TfidfModel:
@@ -286,45 +284,70 @@ def scaled_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({f"{c}_scaled": F.col(c) / F.coalesce(spread.select(c).scalar(), F.lit(1.0)) for c in columns})
 
 
-def feature_pipeline(buckets: int = 2**18, categories: tuple[str, ...] = ("language", "source"), numbers: tuple[str, ...] = ("code_length", "line_count")) -> Pipeline:
-    """Hashed text, categories and numbers assembled into ``features``.
+def feature_pipeline(
+    buckets: int = 2**18, categories: tuple[str, ...] = ("language", "source"), numbers: tuple[str, ...] = ("code_length", "line_count"), blocks: tuple[str, ...] = ()
+) -> Pipeline:
+    """Hashed text, ``blocks`` of columns counted in the code (``stages.BLOCKS``), categories and numbers assembled into ``features``.
 
     The assembler names every slot in the column's metadata. With 2^18 hash buckets that is tens
     of megabytes in each plan, and the slots of a hash mean nothing, so the names are left behind.
     """
+    from riskloom.operators import stages
+
+    counted = stages.block_columns(blocks)
     return Pipeline(
         stages=[
             *hashing_stages("raw_code", "hashed", buckets),
+            *([stages.CodeColumns("raw_code", list(blocks))] if blocks else []),
             *category_stages(list(categories)),
             *numeric_stages(list(numbers), "numbers"),
-            VectorAssembler(inputCols=["hashed", *[c + "_onehot" for c in categories], "numbers"], outputCol="assembled"),
-            SQLTransformer(statement="SELECT * EXCEPT (assembled), coalesce(assembled, assembled) AS features FROM __THIS__"),
+            VectorAssembler(inputCols=["hashed", *counted, *[c + "_onehot" for c in categories], "numbers"], outputCol="assembled"),
+            SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(['assembled', *counted])}), coalesce(assembled, assembled) AS features FROM __THIS__"),
         ]
     )
 
 
+def term_pipeline(
+    max_features: int = 3000, ngrams: tuple[int, int] = (1, 2), min_df: int = 1, max_df: float = 1.0, sublinear: bool = False, plain: bool = False,
+    blocks: tuple[str, ...] = ("structure", "language"), text: str = "raw_code",
+) -> Pipeline:
+    """Weights of the most frequent n-grams and ``blocks`` of columns counted in the code, assembled into ``features``. The fitted pipeline can be saved."""
+    from riskloom.operators import stages
+
+    return Pipeline(stages=[
+        stages.WordGrams(text, "_terms", *ngrams, plain), stages.TermWeighting("_terms", "_tfidf", max_features, min_df, max_df, sublinear), *_assembling(blocks, text)])
+
+
+def _assembling(blocks: tuple[str, ...], text: str) -> list:
+    from riskloom.operators import stages
+
+    counted = stages.block_columns(blocks)
+    return [
+        stages.CodeColumns(text, list(blocks)), VectorAssembler(inputCols=["_tfidf", *counted], outputCol="features"),
+        SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(['_terms', '_tfidf', *counted])}) FROM __THIS__"),
+    ]
+
+
 class SyntacticFeatures:
-    """N-gram weights, structural counts and language flags of a text as one ``features`` vector."""
+    """N-gram weights and columns counted in the code as one ``features`` vector, with the names of its slots. ``model`` can be saved."""
+
+    def __init__(self, model: PipelineModel):
+        from riskloom.operators import stages
 
-    def __init__(self, tfidf: TfidfModel, ngrams: tuple[int, int]):
-        self.tfidf, self.ngrams = tfidf, ngrams
+        self.model = model
+        self.weights = next(s for s in model.stages if isinstance(s, stages.TermWeights))
+        self.blocks = next(s for s in model.stages if isinstance(s, stages.CodeColumns)).getOrDefault("blocks")
 
     @classmethod
-    def fit(cls, df: DataFrame, max_features: int = 3000, ngrams: tuple[int, int] = (1, 2), min_df: int = 1, max_df: float = 1.0, sublinear: bool = False):
-        terms = df.select(word_ngrams(words(F.col("raw_code")), *ngrams).alias("_terms"))
-        return cls(fit_tfidf(terms, "_terms", max_features, min_df, max_df, sublinear), ngrams)
+    def fit(cls, df: DataFrame, *args, **options) -> SyntacticFeatures:
+        """Arguments as ``term_pipeline`` takes them."""
+        return cls(term_pipeline(*args, **options).fit(df))
 
     @property
     def names(self) -> list[str]:
-        return [*(f"tfidf__{term}" for term in self.tfidf.terms), *STRUCTURE_NAMES, *LANGUAGE_FLAGS]
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        counted = language_one_hot(structure(df.withColumn("_terms", word_ngrams(words(F.col("raw_code")), *self.ngrams))))
-        weighted = self.tfidf.vectors(counted, "_terms", "_tfidf")
-        sized = VectorSizeHint(inputCol="_tfidf", size=len(self.tfidf.terms)).transform(weighted)
-        assembler = VectorAssembler(inputCols=["_tfidf", *STRUCTURE_NAMES, *LANGUAGE_FLAGS], outputCol="features")
-        return assembler.transform(sized).drop("_terms", "_tfidf", *STRUCTURE_NAMES, *LANGUAGE_FLAGS)
+        from riskloom.operators import stages
 
+        return [*(f"tfidf__{term}" for term in self.weights.getOrDefault("terms")), *stages.block_columns(self.blocks)]
 
-STRUCTURE_NAMES = ("ast_node_count", "ast_max_depth", "ast_pointer_ops", "ast_function_calls", "ast_loops", "ast_if_statements")
-LANGUAGE_FLAGS = (*(f"lang_{name}" for name in fixed.ONE_HOT_LANGUAGES), "lang_other")
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(df)
