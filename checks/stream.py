@@ -48,7 +48,7 @@ def str_02(spark, sf):
     summary = stream.running_summary(stream.scan_stream(_arriving(spark, sf)))
     out, state = shared_dir(spark, "summary"), shared_dir(spark, "offsets")
     stream.write_summary(summary, out, state, available_now=True).awaitTermination()
-    return spark.read.schema(summary.schema).parquet(out)
+    return stream.read_summary(spark, out, summary.schema)
 
 
 @case("str_03_drop_seen", """SELECT DISTINCT sha256(text) AS code_hash FROM documents""")

@@ -76,3 +76,121 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     A lambda body that reads an outer expression would compute it again for each element.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# --- what must stand in a text for a pattern to match -------------------------------------------
+GRAM = 4
+
+
+def literal_runs(pattern: str) -> list[list[str]] | None:
+    """For each alternative of a pattern, runs of characters that every match of it holds. None if the pattern cannot be read for sure.
+
+    Only what stands outside groups counts, and no character that may be left out or repeated.
+    """
+    if "\\Q" in pattern or "(?x" in pattern or "(*" in pattern:
+        return None
+    branches, runs, run = [], [], ""
+    at, depth, size = 0, 0, len(pattern)
+
+    def close() -> None:
+        nonlocal run
+        if run:
+            runs.append(run)
+        run = ""
+
+    while at < size:
+        c, taken, letter = pattern[at], 1, None
+        if c == "\\":
+            following = pattern[at + 1 : at + 2]
+            if not following:
+                return None
+            taken = 2
+            if not following.isalnum():
+                letter = following
+            elif following in "xupPNck0":  # codes of characters, properties, names: read over them as unknown
+                if depth == 0:
+                    close()
+                brace = pattern[at + 2 : at + 3] == "{"
+                taken = pattern.find("}", at) - at + 1 if brace else {"x": 4, "u": 6, "c": 3}.get(following, 3)
+                if taken <= 0:
+                    return None
+        elif c == "[":
+            end = _class_end(pattern, at)
+            if end < 0:
+                return None
+            taken = end - at
+        elif c == "(":
+            if depth == 0:
+                flags = pattern[at:].partition(")")[0]
+                if flags.startswith("(?") and flags[2:].isalpha() and at == 0:
+                    at += len(flags) + 1
+                    continue
+            depth += 1
+        elif c == ")":
+            depth -= 1
+            if depth < 0:
+                return None
+        elif c == "|" and depth == 0:
+            close()
+            branches.append(runs)
+            runs, at = [], at + 1
+            continue
+        elif c not in ".^$*+?{}":
+            letter = c
+        at += taken
+        quantifier = pattern[at : at + 1] in ("*", "?", "{", "+")
+        if depth == 0 and letter is not None and not quantifier:
+            run += letter
+            continue
+        if depth == 0 and letter is not None and pattern[at : at + 1] == "+":
+            run += letter  # once at least, but what follows need not be next to it
+        if depth == 0 or c == "(":
+            close()
+        if pattern[at : at + 1] == "{":
+            end = pattern.find("}", at)
+            if end < 0:
+                return None
+            at = end + 1
+        while pattern[at : at + 1] in ("*", "?", "+") and pattern[at : at + 1]:
+            at += 1
+    close()
+    return None if depth else [*branches, runs]
+
+
+def _class_end(pattern: str, at: int) -> int:
+    """The place behind a character class that begins at ``at``; classes may hold classes."""
+    depth, first = 0, True
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 2
+            first = False
+            continue
+        if c == "[":
+            depth += 1
+            at += 1
+            if pattern[at : at + 1] == "^":
+                at += 1
+            first = True
+            continue
+        if c == "]" and not first:
+            depth -= 1
+            if depth == 0:
+                return at + 1
+        first = False
+        at += 1
+    return -1
+
+
+def needles(pattern: str) -> list[str] | None:
+    """Short strings of which a text in lower case holds one if the pattern matches it; None if there are none that could tell."""
+    branches = literal_runs(pattern)
+    if not branches:
+        return None
+    found = []
+    for runs in branches:
+        best = max((r for r in runs if r.isascii()), key=len, default="").lower()
+        if len(best) < GRAM:
+            return None
+        found.append(best[(len(best) - GRAM) // 2 :][:GRAM])
+    return found

@@ -9,6 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.patterns import let
 from riskloom.functions.risk import feature_label
 
 NO_REASON = "No single feature stands out"
@@ -62,15 +63,16 @@ def vector_reasons(
 ) -> DataFrame:
     """``top_reasons`` for a feature vector of a fitted linear model.
 
-    Only the slots that a row holds are looked at. An absent slot adds ``-coef * mean`` in every row, so the best
-    absent ones come from one list, sorted once and just long enough for the row with the most slots.
+    Only the slots that a row holds are looked at. An absent slot adds ``-coef * mean`` in every row, so absent slots are ranked once for
+    all rows; the best ones of a row are the first ranks that its own slots leave free, found in a row of h slots among the first
+    h + ``top`` ranks.
     """
     vector = F.unwrap_udt(column)
     spots = F.coalesce(vector["indices"], F.sequence(F.lit(0), F.size(vector["values"]) - 1))
     if means is None:
         means = df.agg(Summarizer.mean(F.col(column)).alias("m")).first()["m"].toArray()
-    longest = df.agg(F.max(F.size(spots))).first()[0] or 0
-    shift = sorted((float(c) * float(m), label, i) for i, (c, m, label) in enumerate(zip(coefficients, means, names)) if c * m < 0)[: longest + top]
+    shift = sorted((float(c) * float(m), label, i) for i, (c, m, label) in enumerate(zip(coefficients, means, names)) if c * m < 0)
+    places = {slot: rank for rank, (_, _, slot) in enumerate(shift)}
 
     def literal(values: Sequence, kind: str) -> Column:
         return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
@@ -78,11 +80,14 @@ def vector_reasons(
     labels = literal(list(names), "string")
     weights, centres = literal([float(c) for c in coefficients], "double"), literal([float(m) for m in means], "double")
     absent = literal([{"order": o, "feature": label, "slot": i} for o, label, i in shift], "struct<order:double,feature:string,slot:int>")
+    ranks = literal([places.get(i) for i in range(len(names))], "int")
     held = F.transform(
         F.arrays_zip(spots.alias("i"), vector["values"].alias("x")),
         lambda e: F.struct((-(F.get(weights, e["i"]) * (e["x"] - F.get(centres, e["i"])))).alias("order"), F.get(labels, e["i"]).alias("feature"), e["i"].alias("slot")),
     )
-    others = F.slice(F.filter(absent, lambda e: ~F.array_contains(spots, e["slot"])), 1, top)
+    taken = F.array_compact(F.transform(spots, lambda i: F.get(ranks, i)))
+    free = let(taken, lambda t: F.slice(F.array_except(F.sequence(F.lit(0), F.size(t) + (top - 1)), t), 1, top))
+    others = F.array_compact(F.transform(free, lambda rank: F.get(absent, rank)))
     rising = F.slice(F.array_sort(F.concat(F.filter(held, lambda e: e["order"] < 0), others)), 1, top)
     picked = df.withColumn(name, F.transform(rising, lambda e: feature_label(e["feature"])))
     return picked.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(NO_REASON))))

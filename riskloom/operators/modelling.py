@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.common import _py2java
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,28 +116,65 @@ def parameter_draws(grid: Mapping[str, Sequence], draws: int = 10, seed: int = 4
     return random.Random(seed).sample(every, min(draws, len(every)))
 
 
-def random_search(
-    estimator: Pipeline, train: DataFrame, grid: Mapping[str, Sequence], key: str, draws: int = 10, k: int = 3, seed: int = 42, parallelism: int = 4
-) -> CrossValidatorModel:
-    """Random hyper-parameter search scored by F1 over hash folds; ``grid`` names parameters of the last stage."""
-    classifier = estimator.getStages()[-1]
-    maps = [{classifier.getParam(name): value for name, value in draw.items()} for draw in parameter_draws(grid, draws, seed)]
-    evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0)
-    search = CrossValidator(
-        estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator, numFolds=k, foldCol="fold", parallelism=parallelism, seed=seed
-    )
-    return search.fit(folds(train, key, k, seed))
+def fold_vectors(estimator: Pipeline, df: DataFrame, key: str, k: int = 5, seed: int = 42) -> list[DataFrame]:
+    """For each hash fold, a written table of all rows' vectors by features that were fitted on the other folds.
 
-
-def cross_validated_f1(estimator: Pipeline, df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """F1 of class 1 per fold. One distributed fit per fold."""
+    Classifiers of any parameters read these tables, so a text is tokenised once for each fold however many are tried.
+    """
+    before = estimator.getStages()[:-1]
     folded = folds(df, key, k, seed)
-    results = None
+    wanted = [LABEL, WEIGHT, "features", "fold"]
+    tables = []
     for i in range(k):
-        model = fit(estimator, folded.filter(F.col("fold") != i))
-        part = evaluate.metrics(score(model, folded.filter(F.col("fold") == i)), None).select(F.lit(i).alias("fold"), "f1")
-        results = part if results is None else results.unionByName(part)
-    return results
+        features = Pipeline(stages=before).fit(folded.filter(F.col("fold") != i)) if before else None
+        vectors = features.transform(folded) if features else folded
+        tables.append(staged(vectors.select(*[c for c in wanted if c in vectors.columns]), "fold-vectors"))
+    return tables
+
+
+@dataclass(frozen=True)
+class Search:
+    """The model of the best draw, fitted on all rows, its parameters, and the mean F1 of each draw."""
+
+    bestModel: PipelineModel
+    params: dict
+    avgMetrics: list[float]
+
+
+def random_search(
+    estimator: Pipeline, train: DataFrame, grid: Mapping[str, Sequence], key: str, draws: int = 10, k: int = 3, seed: int = 42, parallelism: int = 4,
+    cache: list[DataFrame] | None = None,
+) -> Search:
+    """Random hyper-parameter search scored by F1 over hash folds; ``grid`` names parameters of the last stage.
+
+    Features are fitted once for each fold, or taken from ``cache`` (``fold_vectors``); only the classifier is searched.
+    """
+    *before, classifier = estimator.getStages()
+    tables = cache or fold_vectors(estimator, train, key, k, seed)
+    drawn = parameter_draws(grid, draws, seed)
+
+    def measured(task: tuple[int, int]) -> float:
+        draw, i = task
+        candidate = classifier.copy({classifier.getParam(name): value for name, value in drawn[draw].items()})
+        model = candidate.fit(tables[i].filter(F.col("fold") != i))
+        return evaluate.metrics(score(model, tables[i].filter(F.col("fold") == i)), None).first()["f1"]
+
+    with ThreadPool(parallelism) as pool:  # fits wait for their jobs; the cluster shares itself between them
+        found = pool.map(measured, [(d, i) for d in range(len(drawn)) for i in range(len(tables))])
+    means = [sum(found[d * len(tables) : (d + 1) * len(tables)]) / len(tables) for d in range(len(drawn))]
+    best = drawn[means.index(max(means))]
+    chosen = classifier.copy({classifier.getParam(name): value for name, value in best.items()})
+    return Search(fit(Pipeline(stages=[*before, chosen]), train), best, means)
+
+
+def cross_validated_f1(estimator: Pipeline, df: DataFrame, key: str, k: int = 5, seed: int = 42, cache: list[DataFrame] | None = None) -> DataFrame:
+    """F1 of class 1 per fold. One distributed fit per fold, on the fold's written vectors."""
+    classifier = estimator.getStages()[-1]
+    results = []
+    for i, table in enumerate(cache or fold_vectors(estimator, df, key, k, seed)):
+        model = classifier.fit(table.filter(F.col("fold") != i))
+        results.append(evaluate.metrics(score(model, table.filter(F.col("fold") == i)), None).select(F.lit(i).alias("fold"), "f1"))
+    return reduce(DataFrame.unionByName, results)
 
 
 def two_stage_fit(first: Pipeline, second: Pipeline, train: DataFrame, alpha: float = 0.75, gamma: float = 2.0) -> PipelineModel:
@@ -153,23 +192,47 @@ WEIGHTINGS = {
 }
 
 
+def _settings(stages: Sequence) -> str:
+    """What tells feature stages apart: their types and settings, without generated names."""
+    def one(stage) -> str:
+        found = {p.name: str(value) for p, value in stage.extractParamMap().items()}
+        own = {k: str(v) for k, v in vars(stage).items() if isinstance(v, (str, int, float, tuple, list))}
+        return re.sub(r"_[0-9a-f]{12}", "", f"{type(stage).__name__} {sorted(found.items())} {sorted((k, v) for k, v in own.items() if k != 'uid')}")
+
+    return "; ".join(map(one, stages))
+
+
 def compare_models(models: Mapping[str, Pipeline], train: DataFrame, test: DataFrame, first: Pipeline | None = None) -> DataFrame:
     """Every model under weighted, focal and class-balanced training, ranked by F1.
 
-    A loop of distributed fits; only one metric row per fit is kept.
+    A loop of distributed fits; only one metric row per fit is kept. Features do not depend on weights, so each different set of feature
+    stages is fitted and its vectors written once; all fits read these. ``first`` gives the scores that focal weights follow from.
     """
-    rows = None
+    tables: dict[str, tuple[DataFrame, DataFrame]] = {}
+
+    def vectors(stages: Sequence) -> tuple[DataFrame, DataFrame]:
+        if not stages:
+            return train, test
+        name = _settings(stages)
+        if name not in tables:
+            features = Pipeline(stages=list(stages)).fit(train)
+            tables[name] = tuple(staged(features.transform(part).select(LABEL, "features"), "vectors") for part in (train, test))
+        return tables[name]
+
+    rows = []
     for name, pipeline in models.items():
+        *before, classifier = pipeline.getStages()
+        rows_train, rows_test = vectors(before)
+        alone = Pipeline(stages=[classifier])
         for loss in ("wce", "focal", "cb"):
             if loss == "focal":
-                model = two_stage_fit(first or pipeline, pipeline, train)
+                base = Pipeline(stages=[first.getStages()[-1]]) if first and _settings(first.getStages()[:-1]) == _settings(before) else alone
+                model = two_stage_fit(base, alone, rows_train)
             else:
-                model = fit(pipeline, WEIGHTINGS[loss](train))
-            measured = report(score(model, test)).select(
-                F.lit(name).alias("model"), F.lit(loss).alias("loss_type"), "accuracy", "precision", "recall", "f1", "roc_auc"
-            )
-            rows = measured if rows is None else rows.unionByName(measured)
-    return rows.orderBy(F.desc("f1"), "model", "loss_type")
+                model = fit(alone, WEIGHTINGS[loss](rows_train))
+            rows.append(report(score(model, rows_test)).select(
+                F.lit(name).alias("model"), F.lit(loss).alias("loss_type"), "accuracy", "precision", "recall", "f1", "roc_auc"))
+    return reduce(DataFrame.unionByName, rows).orderBy(F.desc("f1"), "model", "loss_type")
 
 
 def refit(estimator: Pipeline, *parts: DataFrame) -> PipelineModel:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 from riskloom.functions import risk
-from riskloom.functions.patterns import CodeText, folded, regex
-from riskloom.session import settled
+from riskloom.functions.patterns import GRAM, CodeText, folded, needles, regex
+from riskloom.session import settled, staged
 
 # Message texts are data: pass other tables to change wording or language.
 FINDINGS = {
@@ -107,20 +108,59 @@ def match_families(df: DataFrame, code: str = "raw_code", keep: Sequence[str] =
     return df.withColumn("_lowered", folded(F.col(code))).select(*keep, F.explode(families).alias("rule_family"))
 
 
-RULES_IN_ONE_PASS = 500
+PATTERNS_IN_ONE_PASS = 500
+RULES_IN_ONE_PASS = 200_000  # rows of the needle index that are sent to all tasks, some tens of megabytes
 
 
-def match_rule_table(df: DataFrame, rules: DataFrame, code: str, keep: Sequence[str], batch: int = RULES_IN_ONE_PASS) -> DataFrame:
-    """``match_rules`` for a rule catalogue that arrives as a table ``(rule_id, pattern)``.
+def needle_index(rules: DataFrame) -> DataFrame:
+    """(rule_id, pattern, needle) of each rule, a row for each of its needles; the needle is null where nothing must stand in a text.
 
-    Rules are compiled into the projection, ``batch`` of them at a time; each further batch is one more pass over the texts.
+    Patterns are read by tasks, a batch at a time.
     """
-    rows = rules.select("rule_id", "pattern").filter("pattern is not null").collect()
+    kind = dict(rules.dtypes)["rule_id"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(set(needles(p))) if p and needles(p) else [None] for p in batch.column(1).to_pylist()]
+            rows = pa.array([i for i, some in enumerate(found) for _ in some], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array([n for some in found for n in some], pa.string())], ["rule_id", "pattern", "needle"])
+
+    return rules.select("rule_id", "pattern").filter("pattern is not null").mapInArrow(read, f"rule_id {kind}, pattern string, needle string")
+
+
+def match_rule_table(df: DataFrame, rules: DataFrame, code: str, keep: Sequence[str], batch: int = PATTERNS_IN_ONE_PASS) -> DataFrame:
+    """``match_rules`` for a rule catalogue of any size that arrives as a table ``(rule_id, pattern)``.
+
+    Each pattern has a needle, four characters that stand in every text it matches. Texts are cut into their different runs of four
+    characters, which meet the needles in a hash join inside the task; only then is the one pattern tried on the one text. So texts do not
+    move and are read once, and the cost of a text does not grow with the rules that have nothing to do with it. Patterns without a
+    needle are compiled into a projection, ``batch`` for each further pass.
+
+    A document is a row: rows that agree in ``keep`` are told apart, and a rule gives one row for each row of ``df`` that it matches.
+    """
+    index = staged(needle_index(rules), "needles")
+    general = index.filter("needle is null").select("rule_id", "pattern").collect()  # rules without a needle only
+    count = index.filter("needle is not null").count()
+    text, grams = F.col("_code"), r"(?s)(?![\uDC00-\uDFFF])(?=(.{%d}))" % GRAM
+    named = df.select(F.col(code).alias("_code"), F.struct(*keep).alias("_keep"))
     passes = []
-    for start in range(0, max(1, len(rows)), batch):
-        tests = [F.when(F.regexp_like(F.col(code), regex(row.pattern)), F.lit(row.rule_id)) for row in rows[start : start + batch]]
-        found = F.array_compact(F.array(*tests)) if tests else F.array().cast(f"array<{dict(rules.dtypes)['rule_id']}>")
-        passes.append(df.select(*keep, F.explode(found).alias("rule_id")))
+    parts = -(-count // RULES_IN_ONE_PASS)
+    for part in range(parts):
+        some = index.filter("needle is not null")
+        if parts > 1:
+            some = some.filter(F.pmod(F.xxhash64("rule_id", "pattern"), F.lit(parts)) == part)
+        run = F.explode(F.array_distinct(F.regexp_extract_all(folded(text), F.lit(grams), F.lit(1)))).alias("needle")
+        met = named.withColumn("_row", F.monotonically_increasing_id()).select("*", run).join(F.broadcast(some), "needle")
+        hit = met.filter(F.regexp_like(text, F.concat(F.lit("(?dU)"), F.col("pattern"))))
+        alternatives = some.groupBy("rule_id", "pattern").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+        if alternatives:  # a text may hold several needles of one rule
+            hit = hit.dropDuplicates(["_row", "rule_id", "pattern"])
+        passes.append(hit.select("_keep.*", "rule_id"))
+    for start in range(0, len(general), batch):
+        tests = [F.when(F.regexp_like(text, regex(row.pattern)), F.lit(row.rule_id)) for row in general[start : start + batch]]
+        passes.append(named.select("_keep", F.explode(F.array_compact(F.array(*tests))).alias("rule_id")).select("_keep.*", "rule_id"))
+    if not passes:
+        return named.select("_keep.*", F.lit(None).cast(dict(rules.dtypes)["rule_id"]).alias("rule_id")).filter(F.lit(False))
     return reduce(DataFrame.unionByName, passes)
 
 

@@ -55,10 +55,39 @@ def write_details(details: DataFrame, path: str, checkpoint: str, available_now:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+KEPT_BATCHES = 3  # older ones are deleted; a reader has so many micro-batches' time to finish
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_summary(summary: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Keep the latest summary: each micro-batch replaces the few rows of the last."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    """Keep the latest summary: each micro-batch writes the few rows of its own numbered folder, then a line of the manifest.
+
+    The manifest names a batch only when its folder is complete, and a retried batch replaces its own folder alone, so ``read_summary``
+    always finds a whole summary.
+    """
+    def replace(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        folder, manifest = f"{path}/data/{number:019d}", f"{path}/manifest"
+        batch.write.mode("overwrite").parquet(folder)
+        spark.createDataFrame([(number,)], "batch long").coalesce(1).write.mode("overwrite").parquet(f"{manifest}/{number:019d}")
+        for kind in ("data", "manifest"):
+            place, files = _file_system(spark, f"{path}/{kind}")
+            for old in sorted(s.getPath().getName() for s in files.listStatus(place))[: -KEPT_BATCHES - 1]:
+                files.delete(spark._jvm.org.apache.hadoop.fs.Path(place, old), True)
 
     writer = summary.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(replace)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_summary(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The summary of the last complete micro-batch. Raises ValueError before there is one."""
+    place, files = _file_system(spark, f"{path}/manifest")
+    names = [s.getPath() for s in files.listStatus(place) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))] if files.exists(place) else []
+    if not names:
+        raise ValueError(f"no summary has been written below {path}")
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{path}/data/{max(p.getName() for p in names)}")

@@ -78,3 +78,86 @@ def test_vector_reasons_against_numpy(spark):
         gain = weights * (row - matrix.mean(axis=0))
         expected = [shown[k] for k in np.argsort(-gain, kind="stable")[:3] if gain[k] > 0]
         assert reasons == (expected or [explain.NO_REASON])
+
+
+def test_vector_reasons_on_many_slots(spark):
+    """Sparse rows of 2^18 slots, most of whose best reasons are absent slots."""
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from riskloom.operators import explain
+
+    rng, size = np.random.default_rng(1), 2**18
+    weights, means = np.round(rng.normal(size=size), 3), np.round(rng.exponential(size=size) * 0.01, 4)
+    names = [f"slot{i}" for i in range(size)]
+    best = np.argsort(weights * means, kind="stable")[:400]
+    rows = []
+    for i in range(30):
+        slots = np.unique(np.concatenate([best[: i * 13], rng.integers(0, size, 20)]))
+        rows.append((i, slots, rng.exponential(size=len(slots)) * 0.02))
+    df = spark.createDataFrame([(i, Vectors.sparse(size, s.tolist(), x.tolist())) for i, s, x in rows], ["i", "features"])
+    got = {r.i: r.reasons for r in explain.vector_reasons(df, names, weights, means).collect()}
+    for i, slots, x in rows:
+        value = np.zeros(size)
+        value[slots] = x
+        gain = weights * (value - means)
+        assert got[i] == [names[k] for k in sorted(np.argsort(-gain)[:50], key=lambda k: (-gain[k], names[k]))[:3]]
+
+
+def test_pipeline_with_code_blocks_is_saved(spark, planted):
+    pipeline = modelling.model_pipeline(modelling.logistic(maxIter=5), 2**8, blocks=("security", "structure", "signals", "language"))
+    model = modelling.fit(pipeline, balanced_weights(planted))
+    path = shared_dir(spark, "model")
+    sinks.save_model(model, path)
+    before = modelling.score(model, planted).select("doc_id", "probability").orderBy("doc_id").collect()
+    assert before == modelling.score(sinks.load_model(path), planted).select("doc_id", "probability").orderBy("doc_id").collect()
+    assert not any(c.startswith(("sec_", "ast_")) for c in model.transform(planted).columns)
+
+
+def counted(monkeypatch):
+    """Names of the tables that model fits write, and how often feature stages are fitted."""
+    from riskloom.operators import vectorise
+
+    written, fits = [], []
+    keep, fit = modelling.staged, vectorise.PopulationScaler._fit
+    monkeypatch.setattr(modelling, "staged", lambda df, name: (written.append(name), keep(df, name))[1])
+    monkeypatch.setattr(vectorise.PopulationScaler, "_fit", lambda self, df: (fits.append(1), fit(self, df))[1])
+    return written, fits
+
+
+def test_a_search_fits_features_once_for_each_fold(planted, monkeypatch):
+    written, fits = counted(monkeypatch)
+    rows = balanced_weights(planted)
+    grid = {"regParam": [1e-4, 1e-2, 1.0], "elasticNetParam": [0.0, 0.5]}
+    pipeline = modelling.model_pipeline(modelling.logistic(maxIter=5), 2**8)
+    search = modelling.random_search(pipeline, rows, grid, "doc_id", draws=6, k=3)
+    assert written.count("fold-vectors") == 3 and len(fits) == 4 and written.count("vectors") == 1  # three folds and the final fit
+    assert len(search.avgMetrics) == 6 and max(search.avgMetrics) > 0.8
+    assert search.params == modelling.parameter_draws(grid, 6)[search.avgMetrics.index(max(search.avgMetrics))]
+    assert modelling.score(search.bestModel, planted).count() == 400
+
+
+def test_folds_are_shared_and_agree_with_whole_fits(planted, monkeypatch):
+    from riskloom.operators.sampling import folds
+
+    rows = balanced_weights(planted)
+    pipeline = modelling.model_pipeline(modelling.logistic(maxIter=5), 2**8)
+    plain = {}
+    for i in range(3):
+        marked = folds(rows, "doc_id", 3, 42)
+        model = modelling.fit(pipeline, marked.filter(F.col("fold") != i))
+        plain[i] = evaluate.metrics(modelling.score(model, marked.filter(F.col("fold") == i)), None).first().f1
+    written, fits = counted(monkeypatch)
+    cache = modelling.fold_vectors(pipeline, rows, "doc_id", 3)
+    assert len(fits) == 3 and written.count("fold-vectors") == 3
+    assert {r.fold: r.f1 for r in modelling.cross_validated_f1(pipeline, rows, "doc_id", 3, cache=cache).collect()} == pytest.approx(plain)
+    modelling.random_search(pipeline, rows, {"regParam": [1e-3]}, "doc_id", k=3, cache=cache)
+    assert written.count("fold-vectors") == 3
+
+
+def test_comparison_fits_features_once(planted, monkeypatch):
+    written, fits = counted(monkeypatch)
+    train_rows, test_rows = planted.filter("doc_id % 4 > 0 OR doc_id % 8 = 0"), planted.filter("doc_id % 8 = 4")
+    models = {name: modelling.model_pipeline(modelling.logistic(maxIter=3, regParam=r), 2**8) for name, r in (("a", 1e-4), ("b", 1e-2))}
+    rows = modelling.compare_models(models, train_rows, test_rows).collect()
+    assert len(rows) == 6 and len(fits) == 1 and written.count("vectors") == 2  # one table of training rows, one of test rows

@@ -1,8 +1,12 @@
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 from riskloom.functions import normalise as n
+from riskloom.functions import patterns
 from riskloom.operators import features, rules, validation
 from riskloom.plans.scan import scan, scan_changes
 
@@ -109,3 +113,38 @@ def test_signals_of_a_text(spark):
     assert (row.language, row.lines_of_code, row.import_count) == ("python", 4, 1)
     assert features.security_signals(df).first().net_risk == 3
     assert df.select(n.detect_language(F.col("raw_code"))).first()[0] == "python"
+
+
+@pytest.mark.parametrize("pattern, expected", [
+    (r"\bstrcpy\s*\(", [["strcpy", "("]]), (r"abc?def", [["ab", "def"]]), (r"ab+cd", [["ab", "cd"]]), (r"x{0,3}word", [["word"]]), (r"(?:opt)?exec", [["exec"]]),
+    (r"(?i)SELECT|insert", [["SELECT"], ["insert"]]), (r"a[\]bc]d(e|f)g", [["a", "d", "g"]]), (r"a\.b\x41cd", [["a.b", "cd"]]), (r"\p{L}+tail", [["tail"]]), (r"(open", None), (r"\Qa|b\E", None),
+    (r"wo*rd{2}s", [["w", "r", "s"]]), (r"a(b|c)*?d", [["a", "d"]]), (r"[[a-z]&&[^b]]+end", [["end"]]), (r"[]x]y", [["y"]]), ("", [[]]),
+])
+def test_runs_that_a_match_must_hold(pattern, expected):
+    assert patterns.literal_runs(pattern) == expected
+
+
+def test_twenty_thousand_rules_in_one_pass(spark, monkeypatch):
+    words = [f"fn{i * 7919 % 100_003:06d}" for i in range(20_000)]
+    forms = [r"\b{}\s*\(", "(?i){}", "{}|other_{}x", r"[a-z]{{0,3}}{}\d?", "(?:{})", "{}+=", "é{}é"]
+    table = [(i, forms[i % len(forms)].format(*[w] * 2)) for i, w in enumerate(words)] + [(20_000, None), (20_001, "."), (20_002, "x?"), (5, "second of the id")]
+    docs = [(i % 190, " ".join(f"{words[(i * 97 + k * 31) % 20_000]}{('(', ' (', '+=', 'é', ' ')[k % 5]}" + (words[k].upper() if k == i % 9 else "") for k in range(i % 12))) for i in range(200)] + [(500, None), (501, "")]
+    df, rules_table = spark.createDataFrame(docs, "doc_id int, raw_code string"), spark.createDataFrame(table, "rule_id int, pattern string").repartition(4)
+    got = Counter(tuple(r) for r in rules.match_rule_table(df, rules_table, "raw_code", ["doc_id"]).collect())
+    expected = Counter()
+    for number, pattern in table:
+        if pattern is not None:
+            test = re.compile(pattern)
+            expected.update((doc, number) for doc, text in docs if text is not None and test.search(text))
+    assert got == expected and len(expected) > 1000
+    assert df.select("raw_code").count() == 202
+    monkeypatch.setattr(rules, "RULES_IN_ONE_PASS", 3000)
+    assert Counter(tuple(r) for r in rules.match_rule_table(df, rules_table, "raw_code", ["doc_id"]).collect()) == expected
+    assert rules.match_rule_table(df, rules_table.limit(0), "raw_code", ["doc_id"]).collect() == []
+
+
+def test_rule_table_reads_texts_once_and_does_not_move_them(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    table = spark.createDataFrame([(i, rf"\bword{i}\b") for i in range(3000)], "rule_id int, pattern string")
+    tree = rules.match_rule_table(docs, table, "text", ["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("documents.parquet") == 1 and "hashpartitioning" not in tree and "BroadcastHashJoin" in tree

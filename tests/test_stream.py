@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,3 +49,32 @@ def test_repeats_with_an_arrival_time(spark):
     out = shared_dir(spark, "fresh")
     stream.write_details(fresh, out, shared_dir(spark, "offsets"), available_now=True).awaitTermination()
     assert spark.read.parquet(out).count() == 7
+
+
+def test_readers_never_see_half_a_summary(spark):
+    """A reader that polls while batches replace each other finds growing, complete summaries."""
+    rows = [(f"f{i}", f"int item {i} " + ("strcpy(a, b);" if i % 3 == 0 else "return a;"), i / 80) for i in range(80)]
+    schema = T.StructType([*ARRIVING_FILE.fields, T.StructField("probability", T.DoubleType())])
+    path = files_of(spark, rows, "filename string, code string, probability double")
+    summary = stream.running_summary(stream.scan_stream(stream.arriving(spark, path, schema, files_per_trigger=1)))
+    out, seen = shared_dir(spark, "summary"), []
+    with pytest.raises(ValueError):
+        stream.read_summary(spark, out)
+    query = stream.write_summary(summary, out, shared_dir(spark, "offsets"), available_now=True)
+    while query.isActive:
+        try:
+            seen.append(sum(r.files for r in stream.read_summary(spark, out, summary.schema).collect()))
+        except ValueError:
+            assert not seen
+    query.awaitTermination()
+    seen.append(sum(r.files for r in stream.read_summary(spark, out).collect()))
+    assert seen == sorted(seen) and seen[0] > 0 and seen[-1] == 80
+
+
+def test_a_batch_that_fails_midway_leaves_the_last_summary(spark):
+    out = shared_dir(spark, "summary")
+    for number in range(6):
+        spark.range(number + 1).write.mode("overwrite").parquet(f"{out}/data/{number:019d}")
+        if number < 5:
+            spark.createDataFrame([(number,)], "batch long").write.parquet(f"{out}/manifest/{number:019d}")
+    assert stream.read_summary(spark, out).count() == 5
