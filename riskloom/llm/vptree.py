@@ -30,11 +30,20 @@ BLOCK_QUERIES = 4096
 FACTOR = 1.0
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows in pairs, columns added in their order: the same numbers for equal vectors in any shard and any batch."""
+    out = np.zeros(len(a))
+    for column in range(b.shape[1]):
+        out += a[:, column] * b[:, column]
+    return out
+
+
 class Tree:
-    """Points in leaf order, and nodes in order of their building; children < 0 are leaves."""
+    """Points in leaf order, and nodes in order of their building; children < 0 are leaves. ``least`` has the smallest id of each point."""
 
-    def __init__(self, points: np.ndarray, order: np.ndarray, nodes: np.ndarray, ranges: np.ndarray):
+    def __init__(self, points: np.ndarray, order: np.ndarray, nodes: np.ndarray, ranges: np.ndarray, least: np.ndarray | None = None):
         self.points, self.order, self.nodes, self.ranges = points, order, nodes, ranges
+        self.least = np.arange(len(points)) if least is None else least
 
     @staticmethod
     def build(lifted: np.ndarray) -> "Tree":
@@ -70,23 +79,46 @@ class Tree:
         return Tree(lifted[order], order, table, np.array(ranges, np.int64).reshape(-1, 2))
 
     def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` points (in leaf order) nearest to each lifted query that the walk meets, -1 where there are fewer."""
+        """The ``k`` points (in leaf order) nearest to each lifted query that the walk meets, -1 where there are fewer.
+
+        Of points at one distance those with the smaller ids stay, so the walk goes on where a distance may equal the last one kept.
+        """
         n = len(queries)
-        best = np.full((n, k), np.inf)
+        best = np.full((n, k), np.inf)  # half the squared distance, less what is the same for all points
         found = np.full((n, k), -1, np.int64)
         home = np.full(n, -1, np.int64)
         squares = (queries**2).sum(1)
+        # Lifted points have the same length but for rounding, and then the inner product alone is the order: ties stay ties.
         own = (self.points**2).sum(1)
+        bound = float(own.max()) if len(own) else 0.0
+        shorter = (own - bound) / 2
+        shorter[np.abs(shorter) <= 1e-9 * bound] = 0.0
+
+        # Distances that are equal but for rounding: of a difference near zero, the root is what counts.
+        slack = 1e-6 * math.sqrt(bound + float(squares.max())) if n else 0.0
+
+        def radius(some: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(squares[some] + bound + 2 * best[some].max(1), 0))
 
         def leaf(number: int, some: np.ndarray) -> None:
             low, high = self.ranges[number]
-            distance = np.maximum(squares[some, None] + own[None, low:high] - 2 * queries[some] @ self.points[low:high].T, 0)
-            # Ties by place, so that the result does not depend on the order of visits.
-            every = np.concatenate([best[some], distance], 1)
-            ids = np.concatenate([found[some], np.broadcast_to(np.arange(low, high), distance.shape)], 1)
-            take = np.argpartition(every, k - 1, 1)[:, :k]
-            best[some] = np.take_along_axis(every, take, 1)
-            found[some] = np.take_along_axis(ids, take, 1)
+            # A matrix product rounds differently from place to place. So it only finds the pairs near the cut; those are computed anew.
+            rough = shorter[low:high] - queries[some] @ self.points[low:high].T
+            every = np.concatenate([best[some], rough], 1)
+            cut = np.partition(every, k - 1, 1)[:, k - 1] + 1e-9 * (squares[some] + bound)
+            row, column = np.nonzero(every <= cut[:, None])
+            value, place = every[row, column], np.full(len(row), -1, np.int64)
+            old, new = column < k, column >= k
+            place[old] = found[some[row[old]], column[old]]
+            place[new] = low + column[new] - k
+            value[new] = shorter[place[new]] - products(queries[some[row[new]]], self.points[place[new]])
+            by = np.lexsort((np.where(place < 0, np.iinfo(np.int64).max, self.least[place]), value, row))
+            row, value, place = row[by], value[by], place[by]
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            row, value, place, nth = row[nth < k], value[nth < k], place[nth < k], nth[nth < k]
+            new_best, new_found = np.full((len(some), k), np.inf), np.full((len(some), k), -1, np.int64)
+            new_best[row, nth], new_found[row, nth] = value, place
+            best[some], found[some] = new_best, new_found
 
         def distances(node: int, some: np.ndarray) -> np.ndarray:
             vantage = self.points[int(self.nodes[node, 0])]
@@ -113,16 +145,16 @@ class Tree:
                     leaf(-node - 1, some)
                 return
             d, median = distances(node, some), self.nodes[node, 1]
-            reach = factor * np.sqrt(best[some].max(1)) + 1e-9
+            reach = factor * radius(some) + slack
             walk(int(self.nodes[node, 2]), some[d - median <= reach])
-            reach = factor * np.sqrt(best[some].max(1)) + 1e-9
+            reach = factor * radius(some) + slack
             walk(int(self.nodes[node, 3]), some[median - d <= reach])
 
         if len(self.points):
             root = 0 if len(self.nodes) else -1
             descend(root, np.arange(n))
             walk(root, np.arange(n))
-        return found, best
+        return found, np.maximum(squares[:, None] + bound + 2 * best, 0)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -193,15 +225,15 @@ def nearest(queries: DataFrame, index: DataFrame, k: int = 20, factor: float = F
         shard = shard.sort_by("place")
         nodes = np.frombuffer(shard.column("nodes")[0].as_py(), np.float64).reshape(-1, 4)
         ranges = np.frombuffer(shard.column("ranges")[0].as_py(), np.int64).reshape(-1, 2)
-        tree = Tree(_matrix(shard.column("point"), dims + 1), np.zeros(0), nodes, ranges)
+        ids = shard.column("ids").combine_chunks()
+        bounds, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+        tree = Tree(_matrix(shard.column("point"), dims + 1), np.zeros(0), nodes, ranges, flat[bounds[:-1]])
         asked_ids = some.column("id").to_numpy()
         values = _matrix(some.column("v"), dims)
         found, _ = tree.search(np.column_stack([values, np.zeros(len(values))]), k + 1, factor)
         query, column = np.nonzero(found >= 0)
         point = found[query, column]
-        score = np.einsum("ij,ij->i", values[query], np.ascontiguousarray(tree.points[point, :dims]))
-        ids = shard.column("ids").combine_chunks()
-        bounds, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+        score = products(values[query], tree.points[point, :dims])
         size = bounds[point + 1] - bounds[point]
         query, score, base = np.repeat(query, size), np.repeat(score, size), np.repeat(bounds[point], size)
         vec = flat[base + np.arange(len(base)) - np.repeat(np.cumsum(size) - size, size)]

@@ -66,3 +66,17 @@ def test_few_points_are_skipped_only_if_too_far():
     found, best = tree.search(queries, 7, 1.0)
     want = np.sort(((queries[:, None] - points[None]) ** 2).sum(2), 1)[:, :7]
     assert np.sort(best, 1) == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("shape", ["signs", "one-hot", "integers"])
+def test_thousands_of_ties_across_shards(spark, shape):
+    """More different vectors at one distance than any query may return: the smallest ids must stay."""
+    rng = np.random.default_rng(3)
+    n = 3000
+    values = {
+        "signs": rng.choice([-1.0, 1.0], (n, 12)), "one-hot": np.eye(40)[rng.integers(0, 40, n)] * rng.integers(1, 3, (n, 1)), "integers": rng.integers(-2, 3, (n, 5)).astype(float),
+    }[shape]
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(n), values)]
+    usable = vptree.usable(frame(spark, rows))
+    index = vptree.build_index(usable, 20, 700)
+    same(result(vptree.nearest(usable.filter("id % 20 = 0"), index, 20, 1.0, block=60)), brute(rows, 20))
