@@ -9,7 +9,7 @@ from checks.rules import PR_SQL
 from riskloom.functions import normalise as n
 from riskloom.operators import features, profile, rules
 from riskloom.plans.prepare import cleaned_columns, usable
-from riskloom.plans.scan import scan
+from riskloom.plans.scan import change_verdict, scan
 
 CASES = {}
 
@@ -87,10 +87,12 @@ def agg_08(spark, sf):
 
 
 @case("agg_09_scan_verdict", f"""{PR_SQL} SELECT CASE WHEN count_if(status = 'VULNERABLE') > 0 THEN 'VULNERABLE' ELSE 'SAFE' END AS status, round(max(probability), 4) AS probability,
-  count_if(status = 'VULNERABLE') || ' of ' || count(*) || ' analysed files are vulnerable.' AS details FROM judged""")
+  count_if(status = 'VULNERABLE') || ' of ' || count(*) || ' analysed files are vulnerable.' AS details FROM judged
+UNION ALL SELECT 'UNKNOWN', 0.0, 'No model at /nonexistent/model.'""")
 def agg_09(spark, sf):
     found = rules.code_findings(v.scored(spark, sf)).withColumn("suspicious_patterns", features.suspicious_names(F.col("raw_code")))
-    return profile.scan_verdict(rules.decide_pr(found, threshold=0.9))
+    judged = profile.scan_verdict(rules.decide_pr(found, threshold=0.9))
+    return judged.unionByName(change_verdict(v.corpus(spark, sf), "/nonexistent/model", allow_missing_model=True))
 
 
 @case("agg_10_class_counts_by_category", f"WITH {v.LABELLED} SELECT source AS owasp_category, is_vulnerable, CAST(count(*) AS BIGINT) AS row_count FROM labelled GROUP BY ALL")

@@ -277,3 +277,9 @@ SPACE_CHARACTERS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
     "\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+
+# --- parameter grids of the trainers' searches (fixed values; tree depth stops at 30, None is that depth) ---
+FOREST_GRID = {"numTrees": (400, 600, 800), "maxDepth": (30,), "featureSubsetStrategy": ("sqrt", "log2")}
+FOREST_POSITIVE_WEIGHT = 2.5
+SEARCH_DRAWS, SEARCH_FOLDS, SCORE_FOLDS = 10, 3, 5
+TRAINER_TEST_FRACTION = 0.25

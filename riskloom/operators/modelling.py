@@ -30,8 +30,8 @@ MAX_TREE_DEPTH = 30
 
 
 def logistic(**params) -> LogisticRegression:
-    """Elastic-net logistic model; weights come from the ``weight`` column."""
-    base = {"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100}
+    """Elastic-net logistic model; weights come from the ``weight`` column. The penalty acts on the columns as they are, unscaled."""
+    base = {"regParam": 1e-4, "elasticNetParam": 0.15, "maxIter": 100, "standardization": False}
     return LogisticRegression(labelCol=LABEL, weightCol=WEIGHT, **{**base, **params})
 
 
@@ -80,7 +80,8 @@ def fit(pipeline: Pipeline, df: DataFrame) -> PipelineModel:
         return pipeline.fit(df)
     features = Pipeline(stages=before).fit(df)
     wanted = [LABEL, WEIGHT, "features", *(c for c in ("is_valid", "fold") if c in df.columns)]
-    vectors = staged(features.transform(df).select(*wanted), "vectors")
+    transformed = features.transform(df)
+    vectors = staged(transformed.select(*[c for c in wanted if c in transformed.columns]), "vectors")
     return PipelineModel([*features.stages, classifier.fit(vectors)])
 
 

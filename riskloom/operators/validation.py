@@ -42,13 +42,18 @@ def metric_violations(values: dict[str, Column]) -> Column:
     checks = []
     for name in fixed.METRIC_FIELDS:
         text = values[name]
-        numeric, odd = F.regexp_like(text, F.lit(number)), F.regexp_like(text, F.lit(special))
         size = text.try_cast("double")
+        # Most values are spelled as Spark spells numbers; only others need a pattern.
+        whole = F.coalesce(text.try_cast("bigint").cast("string") == text, F.lit(False))
+        plain = whole | F.coalesce((size.cast("string") == text) & ~F.isnan(size) & (F.abs(size) < float("inf")), F.lit(False)) if name == "test_coverage" else whole
+        odd = F.when(plain, False).otherwise(F.regexp_like(text, F.lit(special)))
+        numeric = F.when(plain, True).otherwise(F.regexp_like(text, F.lit(number)))
         checks.append(F.when(text.isNull() | ~(numeric | odd), F.lit(f"{name}: not numeric")))
         checks.append(F.when(odd, F.lit(f"{name}: not finite")))
         checks.append(F.when(numeric & (size < 0), F.lit(f"{name}: negative")))
         if name != "test_coverage":
-            checks.append(F.when(numeric & ~F.regexp_like(text, F.lit(r"^-?\d+$")), F.lit(f"{name}: not an integer")))
+            integer = F.when(plain, True).otherwise(F.regexp_like(text, F.lit(r"^-?\d+$")))
+            checks.append(F.when(numeric & ~integer, F.lit(f"{name}: not an integer")))
     coverage, lines = values["test_coverage"].try_cast("double"), values["lines_of_code"].try_cast("double")
     checks.append(F.when(coverage > 100, F.lit("test_coverage: above 100")))
     checks.append(F.when(lines == 0, F.lit("lines_of_code: zero")))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from riskloom import fixed_values as fixed
 from riskloom.functions import normalise as n
-from riskloom.operators import dedup, features, rules
+from riskloom.operators import dedup, features, profile, rules
 from riskloom.operators.modelling import score
+from riskloom.sources import sinks
 
 
 def model_inputs(df: DataFrame, code: str = "raw_code", source: str = "manual") -> DataFrame:
@@ -48,3 +49,18 @@ def scan_changes(
     rated = scored(wanted, model) if model is not None else wanted
     found = features.file_summary(rules.code_findings(rated)).withColumn("suspicious_patterns", F.col("features.suspicious_patterns"))
     return rules.decide_pr(found, threshold=threshold).drop("suspicious_patterns")
+
+
+def change_verdict(
+    df: DataFrame, model_path: str, changed: DataFrame | None = None, allow_missing_model: bool = False, threshold: float = fixed.PR_THRESHOLD, source_dir: str | None = None
+) -> DataFrame:
+    """One row (status, probability, details) for a change scan with the model saved at ``model_path``.
+
+    Without that model the verdict is UNKNOWN if ``allow_missing_model``, and else FileNotFoundError is raised.
+    """
+    spark = df.sparkSession
+    if not sinks.model_exists(spark, model_path):
+        if not allow_missing_model:
+            raise FileNotFoundError(f"no model at {model_path}: train it before scanning")
+        return spark.createDataFrame([("UNKNOWN", 0.0, f"No model at {model_path}.")], "status string, probability double, details string")
+    return profile.scan_verdict(scan_changes(df, changed, sinks.load_model(model_path), threshold, source_dir))

@@ -29,6 +29,8 @@ def test_training_job(spark, planted):
     result = train(planted, modelling.model_pipeline(modelling.logistic(maxIter=20), 2**10))
     row = result.report.first()
     assert row.roc_auc > 0.8 and 0.05 <= result.threshold <= 0.95 and row.meets_target == (row.accuracy >= 0.8)
+    assert sum(map(sum, row.confusion_matrix)) == row.test_records and row.fit_records + row.validation_records == row.train_records < row.total_clean_records
+    assert 0 <= row.validation_f1 <= 1 and row.model == "LogisticRegression" and {r["class"] for r in result.classes.collect()} >= {"0", "1"}
     assert result.by_language.count() == 2 and result.by_source.filter("source = 'owasp2025'").count() == 0
     path = shared_dir(spark, "model")
     sinks.save_model(result.model, path)
@@ -52,7 +54,8 @@ def test_every_classifier_learns_the_signal(spark, planted):
         scored = modelling.score(Pipeline(stages=[classifier]).fit(rows), rows)
         assert evaluate.roc_auc(scored).first()[0] > 0.8
     logistic = Pipeline(stages=[modelling.logistic(maxIter=10)])
-    two = modelling.two_stage_fit(logistic, logistic, rows.drop("weight", "is_valid"))
+    # A small gamma: the rows whose planted label is wrong would carry most of the weight otherwise.
+    two = modelling.two_stage_fit(logistic, logistic, rows.drop("weight", "is_valid"), gamma=0.5)
     assert evaluate.roc_auc(modelling.score(two, rows)).first()[0] > 0.8
 
 
@@ -161,3 +164,31 @@ def test_comparison_fits_features_once(planted, monkeypatch):
     models = {name: modelling.model_pipeline(modelling.logistic(maxIter=3, regParam=r), 2**8) for name, r in (("a", 1e-4), ("b", 1e-2))}
     rows = modelling.compare_models(models, train_rows, test_rows).collect()
     assert len(rows) == 6 and len(fits) == 1 and written.count("vectors") == 2  # one table of training rows, one of test rows
+
+
+def test_whole_course_of_a_trainer(spark, planted):
+    from riskloom.operators.vectorise import term_pipeline
+    from riskloom.plans.train import train_classifier
+
+    path = shared_dir(spark, "course")
+    grid = {"numTrees": [3, 5], "maxDepth": [4]}
+    result = train_classifier(planted, modelling.forest(), "doc_id", term_pipeline(60, min_df=2), True, grid, model_path=f"{path}/model", report_path=f"{path}/report")
+    row = result.report.first()
+    assert result.params in [{"numTrees": 3, "maxDepth": 4}, {"numTrees": 5, "maxDepth": 4}]
+    assert row.roc_auc > 0.8 and row.cross_validation_f1_mean > 0.5 and sum(map(sum, row.confusion_matrix)) == 100
+    best = result.importances.first()
+    assert best.importance > 0 and not best.feature.startswith("_") and result.importances.count() > 30
+    assert spark.read.json(f"{path}/report").first().roc_auc == row.roc_auc
+    assert modelling.score(sinks.load_model(f"{path}/model"), planted).count() == 400
+
+
+def test_missing_model(spark, planted):
+    from riskloom.plans.scan import change_verdict
+
+    files = planted.select(F.concat(F.lit("src/f"), "doc_id", F.lit(".c")).alias("path"), "raw_code")
+    assert change_verdict(files, "/nonexistent/model", allow_missing_model=True).first()[:] == ("UNKNOWN", 0.0, "No model at /nonexistent/model.")
+    with pytest.raises(FileNotFoundError):
+        change_verdict(files, "/nonexistent/model")
+    path = shared_dir(spark, "model")
+    sinks.save_model(modelling.fit(modelling.model_pipeline(modelling.logistic(maxIter=5), 2**8), balanced_weights(planted)), path)
+    assert change_verdict(files, path).first().status == "VULNERABLE"
