@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm import arrays
 from riskloom.session import shared_dir, staged
 
 MAGIC, VERSION = b"PACKIDS1", 1
@@ -110,10 +111,11 @@ class Encoder:
     """Ids of texts as little-endian uint32 bytes.
 
     With ``by_word`` the tokenizer must drop white space and lower-case its input, as ``word_bpe_49k.json`` does:
-    words then have the same ids wherever they stand, and each is encoded once and remembered.
+    words then have the same ids wherever they stand, and each is encoded once and remembered. Words of a slice are told apart by two
+    64-bit hashes of their bytes, and only different ones are looked up.
     """
 
-    MAX_WORDS = 400_000
+    MAX_WORDS = 800_000
     WORD_END = "</w>"
 
     def __init__(self, path: str, by_word: bool):
@@ -122,11 +124,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = by_word
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}  # what was known before; words met again move over
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
+        # Known words by rising hash: a second hash, where their ids start, how many there are, and when they were met last.
+        self.hash, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.count, self.met = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, np.uint32)
+        self.now = 0
 
     @staticmethod
     def of(path: str, by_word: bool) -> "Encoder":
@@ -135,57 +140,145 @@ class Encoder:
             _ENCODERS[path, by_word] = Encoder(path, by_word)
         return _ENCODERS[path, by_word]
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after another, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int32)
 
-    def _together(self, words: list[str]) -> list[bytes]:
-        """Words of letters alone, encoded as one text: each is one word of the tokenizer, and its last token ends it."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+    def _together(self, text: bytes, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, encoded as one text: each is one word of the tokenizer, and its last token ends it."""
+        ids = np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
         cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words):  # the tokenizer's letters are others than Python's
-            return self._plain(words)
-        content, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-        return [content[a:b] for a, b in zip(at[:-1], at[1:])]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > self.MAX_WORDS:
-            self.older, self.known = self.known, {}
-        for w in words & self.older.keys():
-            self.known[w] = self.older[w]
-        words = words - self.known.keys()
-        # A full stop or comma behind a letter is a token of its own, so such a word needs only its stem.
-        ended = [w for w in words if w[-1:] in (b".", b",") and len(w) > 1 and 97 <= w[-2] <= 122]
-        need = (words.difference(ended) | {w[:-1] for w in ended} | {w[-1:] for w in ended}) - self.known.keys()
-        split = [(w, w.decode()) for w in need]
-        letters = [x for x in split if x[1].isalpha()]
-        others = [x for x in split if not x[1].isalpha()]
-        for part, encode in ((letters, self._together), (others, self._plain)):
-            if part:
-                self.known.update(zip([w for w, _ in part], encode([t for _, t in part])))
-        for w in ended:
-            self.known[w] = self.known[w[:-1]] + self.known[w[-1:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(cuts) != words:  # the tokenizer's letters are others than Python's
+            return self._plain(text.decode().split(" "))
+        return ids, np.diff(cuts, prepend=0).astype(np.int32)
+
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words, how many each has, and the order in which the words come."""
+        others = np.concatenate([[0], np.cumsum((data < 97) | (data > 122))])
+        plain = others[ends] == others[starts]
+        some = np.flatnonzero(plain)
+        parts = []
+        if len(some):
+            size = ends[some] - starts[some] + 1
+            last = np.cumsum(size)
+            text = data[np.minimum(_stretches(starts[some], size), len(data) - 1)]
+            text[last - 1] = 32  # each word with the byte behind it, which becomes a blank
+            parts.append((*self._together(text[:-1].tobytes(), len(some)), some))
+        rest = np.flatnonzero(~plain)
+        words = [(i, data[starts[i] : ends[i]].tobytes().decode()) for i in rest.tolist()]
+        for letters in (True, False):
+            chosen = [(i, w) for i, w in words if w.isalpha() == letters]
+            if chosen:
+                texts = [w for _, w in chosen]
+                parts.append((*(self._together(" ".join(texts).encode(), len(texts)) if letters else self._plain(texts)), np.array([i for i, _ in chosen])))
+        return tuple(np.concatenate(c) for c in zip(*parts))
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
+        ids, count, order = self._encoded(data, starts, ends)
+        start = len(self.flat) + np.cumsum(count) - count
+        self.flat = np.concatenate([self.flat, ids])
+        by = np.argsort(first[order])
+        at = np.searchsorted(self.hash, first[order][by])
+        for name, values in (("hash", first[order]), ("check", second[order]), ("start", start), ("count", count), ("met", np.full(len(count), self.now, np.int32))):
+            setattr(self, name, np.insert(getattr(self, name), at, values[by]))
+
+    def _forget(self) -> None:
+        """Keep the half of the words that were met last."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: self.MAX_WORDS // 2])
+        for name in ("hash", "check", "start", "count", "met"):
+            setattr(self, name, getattr(self, name)[keep])
+        self.flat = self.flat[_stretches(self.start, self.count)]
+        self.start = np.cumsum(self.count, dtype=np.int64) - self.count
+
+    def _slots(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the place of its ids, and for each document and the end its first word."""
+        data = arrays.LOWER[data]
+        starts, ends, bounds = arrays.words(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.int64), bounds
+        # A full stop or comma behind a letter is a token of its own, so it is cut off as a word.
+        mark = data[ends - 1]
+        before = data[np.maximum(ends - 2, 0)]
+        cut = ((mark == 46) | (mark == 44)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
+        extra = np.concatenate([[0], np.cumsum(cut)])
+        bounds = bounds + extra[bounds]
+        at = np.flatnonzero(cut)
+        starts, ends = np.insert(starts, at + 1, ends[at] - 1), np.insert(ends - cut, at + 1, ends[at])
+        sums = arrays.prefix_sums(data)
+        first = arrays.stretch_hashes(sums, starts, ends)
+        second = arrays.mix(arrays.stretch_hashes(arrays.prefix_sums(data ^ np.uint8(0xA5)), starts, ends) + (ends - starts).astype(np.uint64))
+        distinct, sample, word = np.unique(first, return_index=True, return_inverse=True)
+        if (second != second[sample][word]).any():
+            raise ValueError("two words share a hash")  # and so only together with the second one could they be taken for each other
+        if len(self.hash) > self.MAX_WORDS:
+            self._forget()
+        self.now += 1
+        slots = np.searchsorted(self.hash, distinct)
+        held = slots < len(self.hash)
+        held[held] = self.hash[slots[held]] == distinct[held]
+        if (self.check[slots[held]] != second[sample][held]).any():
+            raise ValueError("two words share a hash")
+        if not held.all():
+            new = sample[~held]
+            self._learn(data, starts[new], ends[new], first[new], second[new])
+            slots = np.searchsorted(self.hash, distinct)
+        self.met[slots] = self.now
+        return slots[word.reshape(-1)], bounds
+
+    def _by_slice(self, column: pa.Array):
+        """(first document, data, offsets, documents that hold special tokens) of slices of a text column."""
+        data, offsets = arrays.text_bytes(column)
+        at = 0
+        while at < len(column):
+            upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + arrays.SLICE_BYTES, "right")) - 1)
+            some, bounds = data[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at]
+            marks = np.flatnonzero((some[:-1] == 60) & (some[1:] == 124))  # "<|": special tokens are looked for in the text as it is
+            special = np.unique(np.searchsorted(bounds, marks, "right") - 1)
+            yield at, some, bounds, special
+            at = upto
+
+    def counts(self, column: pa.Array) -> np.ndarray:
+        """The number of ids of each text of a column without nulls."""
         if not self.by_word:
-            return self._plain(texts)
-        split = [t.encode().lower().split() for t in texts]
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        new = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        self._learn(new)
-        known = self.known
-        out = []
-        for text, words, ids in zip(texts, split, found):
-            if "<|" in text:  # special tokens are looked for in the text as it is, before it is lower-cased
-                out.append(self._plain([text])[0])
-                continue
-            if None in ids:
-                ids = [known[w] if i is None else i for w, i in zip(words, ids)]
-            out.append(b"".join(ids))
+            return self._plain(column.to_pylist())[1].astype(np.int64)
+        parts = []
+        for at, data, offsets, special in self._by_slice(column):
+            slots, bounds = self._slots(data, offsets)
+            total = np.concatenate([[0], np.cumsum(self.count[slots], dtype=np.int64)])
+            n = np.diff(total[bounds])
+            if len(special):
+                n[special] = self._plain([column[at + int(i)].as_py() for i in special])[1]
+            parts.append(n)
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if not self.by_word:
+            ids, n = self._plain(column.to_pylist())
+            return _cut(ids, np.concatenate([[0], np.cumsum(n)]))
+        out: list[bytes] = []
+        for at, data, offsets, special in self._by_slice(column):
+            slots, bounds = self._slots(data, offsets)
+            ids = self.flat[_stretches(self.start[slots], self.count[slots])]
+            found = _cut(ids, np.concatenate([[0], np.cumsum(self.count[slots], dtype=np.int64)])[bounds])
+            for i in special.tolist():
+                found[i] = self._plain([column[at + i].as_py()])[0].astype("<u4").tobytes()
+            out += found
         return out
 
 
+def _stretches(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1 ... of all stretches, one after another."""
+    before = np.cumsum(count, dtype=np.int64) - count
+    return np.repeat(start - before, count) + np.arange(int(count.sum()))
+
+
+def _cut(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    content, at = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+    return [content[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
 def token_counts(docs: DataFrame, tokenizer: str, by_word: bool) -> DataFrame:
     """doc_id and n_tokens, the end id included, of each document."""
 
@@ -194,8 +287,7 @@ def token_counts(docs: DataFrame, tokenizer: str, by_word: bool) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                n = [len(ids) // 4 + 1 for ids in encoder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(encoder.counts(part.column(1)) + 1)], ["doc_id", "n_tokens"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return source.mapInArrow(run, "doc_id long, n_tokens long")
@@ -232,7 +324,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, b
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1))):
                     doc_ids.append(NO_DOC if doc_id is None else doc_id)
                     pieces.append(ids + end)
                     sizes.append(len(ids) // 4 + 1)

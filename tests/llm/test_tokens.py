@@ -57,3 +57,24 @@ def test_files_of_awkward_rows(documents, awkward):
 def test_counts_and_empty_table(documents):
     assert tokens.token_counts(documents([(1, None), (2, "hello")]), tokenizer(), True).orderBy("doc_id").collect()[0].n_tokens == 1
     assert tokens.round_trip(documents([]), tokenizer(), VOCABULARY, True).collect() == []
+
+
+def test_words_have_the_ids_of_whole_texts(monkeypatch):
+    """Hostile strings in batches, with few words remembered, so that words are forgotten and learned again."""
+    import random
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens.Encoder, "MAX_WORDS", 300)
+    rng = random.Random(5)
+    pieces = [*"aZé.,'|<>-09_ \t\n\x0b\x1c\x85\xa0ßΣſKİ日ु́\U0001f600", "<|", "don't", "...", "a.", "b,", "Straße.", "<|endoftext|>", "  ", "word", "x1", "1.", "é,"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(25))) for _ in range(6000)]
+    encoder = tokens.Encoder(tokenizer(), True)
+    whole = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        assert encoder.encode(some) == whole[at : at + 500]
+        assert (4 * encoder.counts(pa.array(some))).tolist() == [len(w) for w in whole[at : at + 500]]
+    assert len(encoder.hash) < 2000
+    long = " ".join(f"w{i % 977}é{i % 31}." for i in range(400_000))
+    assert encoder.encode([long, "", long]) == [np.array(encoder.tokenizer.encode(long, add_special_tokens=False).ids, "<u4").tobytes(), b"", encoder.encode([long])[0]]
