@@ -86,6 +86,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
             yield batch.slice(at, upto - at)
             at = upto
+    pa.default_memory_pool().release_unused()  # workers live on: the next stage should not carry this one's buffers
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
