@@ -13,11 +13,16 @@ A template of fewer words than placeholders says too little. Where an item's win
 there are looked for instead, and so are all literal windows of an item that has words enough but, as names of several
 words are one token, too few tokens. Coverage is the largest of three shares: of the windows of either template, and of all.
 
+One edit breaks ``SIZE`` windows. So an item is found, too, where its matched windows together hold ``WORD_COVERAGE`` of its
+words: a phrase may be missing from a copy, or stand in it anew.
+
+A line without small letters says nothing about names: its words are literal. An item of fewer than ``SHORTEST`` words is
+searched for as it is, and found where a text has it as a sentence or line of its own.
+
 A fixed-size bit table of the benchmark's hashes, the same at every scale, keeps windows without a partner
 out of the shuffle; the join decides.
 
-Defined results: null and empty texts and items match nothing; items of fewer than ``SHORTEST`` words are not
-searched for; repeated items each match; repeated documents give the same rows; other columns are ignored.
+Defined results: null and empty texts and items match nothing, and so do items without words; repeated items each match; repeated documents give the same rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +40,7 @@ from riskloom.session import staged
 SIZE = 8
 SHORTEST = 5
 COVERAGE = 0.5
+WORD_COVERAGE = 0.75
 FILTER_BITS = 24
 
 # --- Fixed values: units behind a number. ---
@@ -76,6 +82,14 @@ def _hash_of(word: str) -> np.uint64:
     return arrays.stretch_hashes(arrays.prefix_sums(data), np.array([0]), np.array([len(data)]))[0]
 
 
+def _small_letters(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Number of small letters of each word: ASCII, and Latin letters of two bytes (ß to ÿ)."""
+    small = (data >= 97) & (data <= 122)
+    small[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x9F) & (data[1:] != 0xB7)
+    counted = np.concatenate([[0], np.cumsum(small)])
+    return counted[last] - counted[first]
+
+
 UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
 
 
@@ -106,6 +120,8 @@ def _typed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         opening[1:] = (doc[1:] != doc[:-1]) | (lines[word[1:]] != lines[word[:-1]]) | ENDS_SENTENCE[data[raw_end[:-1] - 1]]
         capital = low[first] != data[first]
         capital |= (data[first] == 0xC3) & (low[np.minimum(first + 1, len(data) - 1)] != data[np.minimum(first + 1, len(data) - 1)])
+        line = np.cumsum(np.concatenate([[0], (doc[1:] != doc[:-1]) | (lines[word[1:]] != lines[word[:-1]])]))
+        capital &= np.bincount(line, _small_letters(data, first, last))[line] > 0
         unit[1:] = number[:-1] & (doc[1:] == doc[:-1])
         at = np.minimum(np.searchsorted(UNIT_HASHES, value), len(UNIT_HASHES) - 1)
         unit &= UNIT_HASHES[at] == value
@@ -155,14 +171,17 @@ def _poor(kind: np.ndarray, bounds: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, ...]] | None, wanted: np.ndarray | None = None):
-    """The (form, size, document, position, first word, hash, slot values) of all windows of which half the tokens are words.
+    """The (form, size, document, position, first word, next word, hash, slot values) of all windows of which half the tokens are words.
 
     ``sizes`` gives the sizes of each form, or None for items, which may be shorter than ``SIZE``. Items have literal windows
     only where a window of the plain template has too few words, and all of them where that has too few tokens.
+    Windows of fewer than ``SHORTEST`` words are literal, whole items or whole sentences.
     """
     typed = _typed(data, offsets)
     n_words = np.bincount(typed[1], minlength=len(offsets) - 1)
     begin = np.concatenate([[0], np.cumsum(n_words)])  # first word of each document
+    edge = np.concatenate([typed[5], [True]])  # words that open a sentence or line, and the end
+    edge[begin[:-1][n_words > 0]] = True
     literal = np.zeros(len(typed[1]), bool)  # words of items with which literal windows begin
     for form in (PLAIN, OPENERS, LITERAL) if sizes is None else sizes:
         token, kind, value, bounds, word = _form(typed, len(offsets) - 1, form)
@@ -173,7 +192,8 @@ def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, .
             literal |= np.repeat(own < SHORTEST, n_words)
         slot = np.where(kind == WORD, np.uint64(0), value | np.uint64(1))
         fixed = np.concatenate([[0], np.cumsum(kind == WORD)])
-        for size in sorted(set(own[own >= SHORTEST].tolist())) if sizes is None else sizes[form]:
+        least = 1 if form == LITERAL else SHORTEST
+        for size in sorted(set(own[own >= least].tolist())) if sizes is None else sizes[form]:
             hashes = arrays.window_hashes(token, size) ^ np.uint64(size) ^ SALT[form]
             at = np.arange(len(hashes))
             good = 2 * (fixed[at + size] - fixed[at]) >= size
@@ -187,10 +207,14 @@ def windows(data: np.ndarray, offsets: np.ndarray, sizes: dict[int, tuple[int, .
             at, doc = at[inside], doc[inside]
             if sizes is None and form == LITERAL:
                 at, doc = at[literal[at]], doc[literal[at]]
-            yield form, size, doc, at - bounds[doc], word[at], hashes[at], slot[at[:, None] + np.arange(size)[None, :]]
+            if sizes is not None and size < SHORTEST:
+                alone = edge[at] & edge[at + size]  # literal tokens are words
+                at, doc = at[alone], doc[alone]
+            upto = np.where(at + size < bounds[doc + 1], word[np.minimum(at + size, len(word) - 1)], n_words[doc])
+            yield form, size, doc, at - bounds[doc], word[at], upto, hashes[at], slot[at[:, None] + np.arange(size)[None, :]]
 
 
-WINDOW = "id long, form int, size int, pos int, word int, hash long, slots array<long>"
+WINDOW = "id long, form int, size int, pos int, word int, upto int, hash long, slots array<long>"
 
 
 def _window_rows(source: DataFrame, sizes: dict[int, tuple[int, ...]] | None, wanted=None) -> DataFrame:
@@ -201,20 +225,20 @@ def _window_rows(source: DataFrame, sizes: dict[int, tuple[int, ...]] | None, wa
         for batch in arrays.slices(batches, "text"):
             data, offsets = arrays.text_bytes(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for form, size, doc, pos, word, hashes, slots in windows(data, offsets, sizes, table):
+            for form, size, doc, pos, word, upto, hashes, slots in windows(data, offsets, sizes, table):
                 flat = pa.array(slots.astype(np.int64).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, slots.size + 1, size, dtype=np.int32)), flat)
                 fixed = [pa.array(np.full(len(doc), x, np.int32)) for x in (form, size)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[doc], pa.int64()), *fixed, pa.array(pos.astype(np.int32)), pa.array(word.astype(np.int32)), pa.array(hashes.astype(np.int64)), lists],
-                    ["id", "form", "size", "pos", "word", "hash", "slots"],
+                    [pa.array(ids[doc], pa.int64()), *fixed, *[pa.array(x.astype(np.int32)) for x in (pos, word, upto)], pa.array(hashes.astype(np.int64)), lists],
+                    ["id", "form", "size", "pos", "word", "upto", "hash", "slots"],
                 )
 
     return source.mapInArrow(run, WINDOW)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, item_id, n_windows matched, item_windows, coverage, n_slots and n_changed of each contaminated pair.
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, word_coverage: float = WORD_COVERAGE) -> DataFrame:
+    """doc_id, item_id, n_windows matched, item_windows, coverage, word_coverage, n_slots and n_changed of each contaminated pair.
 
     The windows are those of one template or all, whichever gives the largest share. ``n_slots`` and ``n_changed``
     are those of the alignment with most windows; ``n_changed`` counts the values that differ, all consistently: 0 for a
@@ -223,9 +247,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), "text").filter("id is not null and text is not null")
     item_rows = staged(_window_rows(items, None).dropDuplicates(["id", "form", "size", "pos"]), "benchmark-windows")
-    # First words of each item's windows; as many as the item has words at most.
+    # First words of each item's windows, and the words in them; as many as the item has words at most.
     of_form = [F.collect_set(F.when(F.col("form") == form, F.col("word"))) for form in (PLAIN, OPENERS)]
-    totals = item_rows.groupBy(F.col("id").alias("item_id")).agg(F.array(*of_form, F.collect_set("word")).alias("counted"))
+    words_of = item_rows.select(F.col("id").alias("item_id"), F.explode(F.sequence("word", F.col("upto") - 1)).alias("w"))
+    n_words = words_of.groupBy("item_id").agg(F.count_distinct("w").alias("item_words"))
+    totals = item_rows.groupBy(F.col("id").alias("item_id")).agg(F.array(*of_form, F.collect_set("word")).alias("counted")).join(n_words, "item_id")
     pairs_of_sizes = [(r.form, r["size"]) for r in item_rows.select("form", "size").distinct().collect()]  # at most SIZE for each form
     sizes = {form: tuple(size for f, size in pairs_of_sizes if f == form) for form in sorted({f for f, _ in pairs_of_sizes})}
     table = np.zeros(1 << FILTER_BITS, bool)
@@ -236,7 +262,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).filter("id is not null")
     doc_rows = _window_rows(texts, sizes, wanted)
     matched = doc_rows.select(F.col("id").alias("doc_id"), "hash", F.col("pos").alias("doc_pos"), F.col("slots").alias("doc_slots")).join(
-        item_rows.select(F.col("id").alias("item_id"), "form", "hash", "pos", "word", "slots"), "hash"
+        item_rows.select(F.col("id").alias("item_id"), "form", "hash", "pos", "word", "upto", "slots"), "hash"
     ).withColumn("shift", F.col("doc_pos") - F.col("pos"))
     matched = staged(matched.drop("hash", "doc_pos", "pos").distinct(), "benchmark-matches")
     alignment = ["doc_id", "item_id", "form", "shift"]
@@ -247,21 +273,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         F.count("*").alias("n_slots"), F.sum((F.col("low") != F.col("high")).cast("long")).alias("clashes"),
         F.sum((F.col("low") != F.col("slot")).cast("long")).alias("n_changed"),
     )
-    spans = matched.groupBy(*alignment).agg(F.collect_set("word").alias("words"))  # bounded by the item's length
+    spans = matched.groupBy(*alignment).agg(F.collect_set(F.struct("word", "upto")).alias("spans"))  # bounded by the item's length
     consistent = spans.join(checked, alignment, "left").filter("coalesce(clashes, 0) = 0")
-    largest = F.max(F.struct(
-        F.size("words").alias("n"), (-F.coalesce("n_changed", F.lit(0))).cast("long").alias("unchanged"), (-F.col("form")).alias("form"),
+    rank = F.struct(
+        F.size("spans").alias("n"), (-F.coalesce("n_changed", F.lit(0))).cast("long").alias("unchanged"), (-F.col("form")).alias("form"),
         F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-    ))
-    met = consistent.groupBy("doc_id", "item_id").agg(F.flatten(F.collect_list("words")).alias("words"), largest.alias("largest")).join(totals, "item_id")
+    )
+    # Spans are exploded before they are put together, so a text that repeats an item holds each span once.
+    met = consistent.withColumn("rank", rank).select("doc_id", "item_id", "rank", F.explode("spans").alias("span")).groupBy("doc_id", "item_id").agg(
+        F.collect_set("span").alias("spans"), F.max("rank").alias("largest")
+    ).join(totals, "item_id").withColumn("words", F.array_distinct("spans.word"))
 
     def share(counted):
         n, of = F.size(F.array_intersect("words", counted)).cast("long"), F.size(counted).cast("long")
         return F.struct(F.when(of > 0, n / of).otherwise(0.0).alias("coverage"), n.alias("n_windows"), of.alias("item_windows"))
 
-    pairs = met.withColumn("best", F.array_max(F.transform("counted", share)))
-    return pairs.filter(F.col("best.coverage") >= coverage).select(
-        "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage", "largest.n_slots", (-F.col("largest.unchanged")).alias("n_changed")
+    covered = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s.word, s.upto - 1)))))
+    pairs = met.withColumn("best", F.array_max(F.transform("counted", share))).withColumn("word_coverage", covered / F.col("item_words"))
+    return pairs.filter((F.col("best.coverage") >= coverage) | (F.col("word_coverage") >= word_coverage)).select(
+        "doc_id", "item_id", "best.n_windows", "best.item_windows", "best.coverage", "word_coverage", "largest.n_slots", (-F.col("largest.unchanged")).alias("n_changed")
     )
 
 
