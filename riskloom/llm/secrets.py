@@ -1,10 +1,12 @@
 """Secrets in texts: fixed patterns, and values in credential context that are costly to guess.
 
-A value behind a credential word (``password: x``, ``pwd=x``, ``the token is x``) is split into words,
-dates, repeats, keyboard walks and brute-force characters. A dynamic programme finds the split with
+A value behind a credential word (``password: x``, ``pwd=x``, ``the token is x``, ``Bearer x``), in a tag or attribute that is named so
+(``<password>x</password>``) or before the host of a URL (``//user:x@host``) is split into words, dates, repeats, keyboard walks and brute-force characters. A dynamic programme finds the split with
 the fewest guesses. Every value is judged by it. Values that cost much are spans of kind ``guess``; placeholders,
 words, dates and walks are cheap and are left alone. A value of letters alone that reads like a word of some language is
-one pick from a large dictionary, and dearer if it is longer than most words.
+one pick from a large dictionary, and dearer if it is longer than most words; two such words joined by a hyphen are a little
+dearer than one. A value in quotes goes to the closing quote of its line, blanks included. Where one value lies in another
+context's value (``Authorization: Bearer x``), each is judged.
 
 Defined results: a null or empty text has no spans; spans never cross documents; values inside base spans are reported
 once, as base spans, and those that reach further are spans beside them; repeated rows give repeated results; other
@@ -34,14 +36,24 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 
 # Short words follow a character that is no letter, or an edge as in ``dbPass`` and ``OAuth``; the others any character.
+SECRET_WORDS = (
+    r"passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|"
+    r"contrase(?:\xf1|n)a|passwort|kennwort|mot de passe|wachtwoord|senha|пароль"
+)
 CONTEXT = re.compile(
-    r"(passw(?:or)?d|passphrase|passcode|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|"
+    rf"(?:{SECRET_WORDS}|"
     r"(?:(?<![a-z])|(?<=(?-i:[a-z]))(?=(?-i:[A-Z]))|(?<=(?-i:[A-Z]))(?=(?-i:[A-Z][a-z])))"
-    r"(?:pass|pw|auth(?:orization)?|bearer|login))[\"']?(?:\s*(?:=>|->|:=|[:=])|\s+is)\s*[\"'`]?([^\s\"'`<>]+)",
-    re.IGNORECASE | re.ASCII,
+    r"(?:pass|pw|auth(?:orization)?|bearer|login))[\"']?(?:\s*(?:=>|->|:=|[:=])|\s+is)\s*"
+    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|`([^`\n]+)`|[\"'`]?([^\s\"'`<>]+))",
+    re.IGNORECASE,
 )
+SCHEME = re.compile(r"(?<![a-z])(?:bearer|basic)\x20+([A-Za-z0-9+/_.~=-]+)", re.IGNORECASE | re.ASCII)
+TAG = re.compile(rf"<[\w:.-]{{0,40}}(?:{SECRET_WORDS})[\w:.-]{{0,40}}(?:\s[^<>]*)?>\s*([^\s<>](?:[^<>]*[^\s<>])?)\s*</", re.IGNORECASE)
+USERINFO = re.compile(r"://[^\s/:@\"'<>]*:([^\s/@\"'<>]+)@")
+LONGEST_CONTEXT = 24  # characters of a value in which the context of a next value may begin
 CONTEXT_WORDS = (
-    "pass", "pwd", "pw", "secret", "token", "api", "access", "private", "credential", "auth", "bearer", "login",
+    "pass", "pwd", "pw", "secret", "token", "api", "access", "private", "credential", "auth", "bearer", "basic", "login",
+    "contrase", "kennwort", "wachtwoord", "senha", "пароль", "://",
 )
 
 # Common parts of passwords, the most common first.
@@ -79,6 +91,7 @@ PAIRS = {group[0] + after for group in FOLLOWS.split() for after in group[1:]}
 NO_VOWELS = re.compile(r"[bcdfghjklmnpqrstvwxz]{6}")
 DICTIONARY_COST = 6.0
 USUAL_LENGTH = 12
+COMPOUND_COST = 1.0  # of a word joined to another by a hyphen
 LENGTH_COST = 0.25  # for each letter beyond the usual length
 
 
@@ -136,6 +149,9 @@ def guess_cost(value: str) -> float:
 
 def word_cost(value: str) -> float:
     """log10 of the guesses of a value that reads like a word: letters of one case or with a capital first, in usual pairs."""
+    parts = value.split("-")
+    if len(parts) == 2 and all(parts):  # a compound, as prose has them
+        return max(map(word_cost, parts)) + COMPOUND_COST
     if not value.isalpha() or not (value[1:].islower() or value.isupper()):
         return math.inf
     plain = "".join(c for c in unicodedata.normalize("NFD", value.casefold()) if not unicodedata.combining(c))
@@ -168,8 +184,11 @@ def guess_spans(text: str, base: list[tuple[str, int, int]], least: float = LEAS
             taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
         else:
             taken.append((s, e))
-    for m in CONTEXT.finditer(text):
-        start, end = m.span(2)
+    judged = 0
+    for start, end in sorted(set(_values(text, lower)), key=lambda v: (v[0], -v[1])):
+        if end <= judged:  # a part of a value that has been judged
+            continue
+        judged = end
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
         at = bisect.bisect_right(taken, (start, len(text))) - 1
@@ -181,6 +200,20 @@ def guess_spans(text: str, base: list[tuple[str, int, int]], least: float = LEAS
     return found
 
 
+def _values(text: str, lower: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the values in credential context; a value may hold the context of another."""
+    m = CONTEXT.search(text)
+    while m:
+        yield m.span(m.lastindex)
+        m = CONTEXT.search(text, max(m.start(m.lastindex), m.end(m.lastindex) - LONGEST_CONTEXT))
+    if "bearer" in lower or "basic" in lower:
+        yield from (m.span(1) for m in SCHEME.finditer(text))
+    if "</" in text:
+        yield from (m.span(1) for m in TAG.finditer(text))
+    if "://" in text:
+        yield from (m.span(1) for m in USERINFO.finditer(text))
+
+
 def scan(text: str, least: float = LEAST_LOG10) -> list[tuple[str, int, int, float | None]]:
     """All spans as (kind, start, end, cost of guessing), by start and then kind."""
     base = base_spans(text)
