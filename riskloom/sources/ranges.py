@@ -101,19 +101,20 @@ def records(df: DataFrame, separator: str, files: DataFrame) -> DataFrame:
 
     What follows a file's last end is one row with ``finished`` false, if there is anything, or if ``files`` (path, damaged) says that the file is damaged.
     """
-    end = F.when(F.col("ends"), F.col("row"))
-    keyed = df.withColumns({
-        "_end": F.min(end).over(ordered().rowsBetween(0, Window.unboundedFollowing)), "_first_end": F.min(end).over(Window.partitionBy(*RANGE)), "_first": (F.col("split") == 0) & F.lag("row").over(ordered()).isNull()})
+    # Records are numbered by the ends before a piece, a running count; a window that looks ahead would take each range's pieces squared.
+    before = F.sum(F.when(F.col("ends"), 1).otherwise(0)).over(ordered().rowsBetween(Window.unboundedPreceding, -1))
+    keyed = df.withColumns({"_record": F.coalesce(before, F.lit(0).cast("long")), "_first": (F.col("split") == 0) & F.lag("row").over(ordered()).isNull()})
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row", "value"))), lambda p: p["value"]), separator)
-    groups = keyed.groupBy(*RANGE, "_end").agg(joined.alias("text"), F.first("_first_end").alias("_first_end"), F.max("_first").alias("first"))
-    inner = groups.filter(F.col("_end") != F.col("_first_end"))
-    edge = groups.filter(F.col("_end").isNull() | (F.col("_end") == F.col("_first_end"))).withColumn("damaged", F.lit(False)).drop("_first_end")
+    groups = keyed.groupBy(*RANGE, "_record").agg(joined.alias("text"), F.max(F.when(F.col("ends"), F.col("row"))).alias("_end"), F.max("_first").alias("first"))
+    inside = (F.col("_record") > 0) & F.col("_end").isNotNull()
+    inner = groups.filter(inside)
+    edge = groups.filter(~inside).withColumn("damaged", F.lit(False)).drop("_record")
     closing = files.select(
         "path", F.lit((1 << 62)).cast("long").alias("split"), F.lit(None).cast("long").alias("_end"), F.lit(None).cast("string").alias("text"), F.lit(False).alias("first"), "damaged")
     fragments = edge.unionByName(closing)
     # A fragment without an end belongs to the next range that has one. In a range, what ends comes before what does not.
-    ahead = Window.partitionBy("path").orderBy("split", F.col("_end").isNull()).rowsBetween(0, Window.unboundedFollowing)
-    owned = fragments.withColumn("_owner", F.min(F.when(F.col("_end").isNotNull(), F.col("split"))).over(ahead))
+    ahead = Window.partitionBy("path").orderBy(F.desc("split"), F.col("_end").isNull().desc()).rowsBetween(Window.unboundedPreceding, 0)
+    owned = fragments.withColumn("_owner", F.last(F.when(F.col("_end").isNotNull(), F.col("split")), ignorenulls=True).over(ahead))
     # Of what no end follows, the first fragment stands for all.
     again = F.lag(F.col("_owner").isNull()).over(Window.partitionBy("path").orderBy("split", F.col("_end").isNull()))
     owned = owned.withColumn("text", F.when(F.col("_owner").isNotNull() | ~F.coalesce(again, F.lit(False)), F.col("text")))

@@ -136,3 +136,12 @@ def test_one_file_as_large_as_a_table(spark, sf, tmp_path):
     expected = sorted((d.doc_id, d.text) for d in docs)
     assert sorted(map(tuple, pairs)) == expected
     assert sorted((i, t or "") for i, t in records) == expected
+
+
+def test_no_window_looks_ahead_over_a_range(spark, tmp_path):
+    """A frame from each row to the end of its partition is computed anew for each row, so a range of n pieces would take n * n / 2 steps."""
+    (tmp_path / "a.csv").write_text("code,safety,language\n" + "".join(f'"x\ny{i}",safe,c\n' for i in range(50)))
+    (tmp_path / "a.json").write_text(json.dumps(objects(random.Random(3), 20)))
+    for df in (tables.quoted_csv(spark, str(tmp_path / "a.csv")), nested.json_array(spark, str(tmp_path / "a.json"), ITEM)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "specifiedwindowframe" in plan and "currentrow$(), unboundedfollowing$()" not in plan
