@@ -117,7 +117,7 @@ def _pair_arrays(spark, sf):
     """Many JSON array files of at most 50 pairs each."""
     pair = F.struct(
         F.when(doc() % 5 != 0, text()).alias("func_before"), F.when(doc() % 7 != 0, F.concat(text(), F.lit("\nfixed"))).alias("func"))
-    grouped = v.documents(spark, sf).groupBy("source", F.floor(doc() / 50)).agg(F.collect_list(pair).alias("items"))
+    grouped = v.documents(spark, sf).groupBy(F.floor(doc() / 50)).agg(F.collect_list(pair).alias("items"))
     path = shared_dir(spark, "arrays")
     grouped.select(F.to_json("items").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return path
