@@ -110,7 +110,7 @@ def clean_corpus(spark: SparkSession, paths: Mapping[str, str]) -> Corpus:
     """
     found = text_lines.readable(spark, dict(paths))
     records = dedup.union_sources({name: source_records(spark, name, path) for name, path in found.items()})
-    cleaned = cleaned_columns(records)
+    cleaned = staged(cleaned_columns(records), "cleaned-records")
     good = staged(_finished(cleaned.filter("not refused")), "clean-records")
     order = ("source_rank", "path", "row_pos", "item")
     first = dedup.keep_first(good, order=order)

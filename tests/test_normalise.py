@@ -122,3 +122,13 @@ def test_needles_never_hide_a_match(spark):
         for k, (row, fold) in enumerate(rows):
             expected = len(re.findall(row[1], source, re.IGNORECASE if fold else 0))
             assert line[k] == expected, (row[0], row[1], source)
+
+
+def test_line_counts_know_all_white_space_and_look_it_up(spark):
+    from riskloom import fixed_values as fixed
+    texts = [f"a{c}b{c}{c} c{c}\n{c}" for c in fixed.SPACE_CHARACTERS] + [" 　 x ", "中文　\n \né", None]
+    expected = [None if t is None else len([line for line in t.splitlines() if line.strip()]) for t in texts]
+    assert results(column(spark, texts), n.nonblank_lines(F.col("x"))) == expected
+    # Classes with characters beyond U+00FF take a chain of tests for each character of a text.
+    plan = column(spark, ["x"]).select(n.nonblank_lines(F.col("x")))._jdf.queryExecution().analyzed().toString()
+    assert "u2028" not in plan and "(?dU)" not in plan
