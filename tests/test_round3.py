@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from checks import text
-from riskloom.operators import modelling
+from riskloom.operators import modelling, vectorise
 from riskloom.plans import prepare
 
 
@@ -43,3 +43,13 @@ def test_fits_read_few_parts_of_many_pieces(spark):
     finally:
         for name, value in kept.items():
             spark.conf.set(name, value)
+
+
+def test_terms_are_counted_before_they_become_rows(spark, monkeypatch):
+    monkeypatch.setattr(vectorise, "COUNTED_TERMS", 6)
+    rows = [(["a", "b", "a", None],), ([],), (None,), (["b"] * 9 + ["ü€"],), (["a"],), ([None, None, "😀"],)]
+    df = spark.createDataFrame(rows, "g array<string>").coalesce(1)
+    found = vectorise.term_statistics(df, "g")
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == {("a", 3, 2), ("b", 10, 2), ("ü€", 1, 1), ("😀", 1, 1), (None, 3, 2)}
+    assert vectorise.term_statistics(df.filter("false"), "g").count() == 0
