@@ -118,7 +118,7 @@ def _grams(spark, sf, high=2):
 @case("txt_06_vocabulary", f"""WITH {STATS} SELECT term, total_count, doc_count FROM s
 WHERE doc_count >= 2 AND doc_count <= 0.95 * (SELECT count(*) FROM documents) ORDER BY total_count DESC, term LIMIT 3000""")
 def txt_06(spark, sf):
-    return vectorise.vocabulary(_grams(spark, sf), "g", 3000, min_df=2, max_df=0.95)
+    return vectorise.vocabulary(_docs(spark, sf), vectorise.WordTerms("text", 1, 2), 3000, min_df=2, max_df=0.95)
 
 
 def _tfidf_sql(tf, features):
