@@ -3,7 +3,6 @@
 import json
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import features
@@ -129,16 +128,16 @@ SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)),
 
 @case("txt_07_tfidf", _tfidf_sql("tf", 3000))
 def txt_07(spark, sf):
-    grams = _grams(spark, sf)
-    model = vectorise.fit_tfidf(grams, "g", 3000, min_df=2)
-    return model.long(grams, "g", "doc_id").withColumn("weight", F.round("weight", 6))
+    docs, grams = _docs(spark, sf), vectorise.WordTerms("text", 1, 2)
+    model = vectorise.fit_tfidf(docs, grams, 3000, min_df=2)
+    return model.long(docs, grams, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @case("txt_07_tfidf_sublinear", _tfidf_sql("(1 + ln(tf))", 5000))
 def txt_07_sublinear(spark, sf):
-    grams = _grams(spark, sf)
-    model = vectorise.fit_tfidf(grams, "g", 5000, min_df=2, sublinear=True)
-    return model.long(grams, "g", "doc_id").withColumn("weight", F.round("weight", 6))
+    docs, grams = _docs(spark, sf), vectorise.WordTerms("text", 1, 2)
+    model = vectorise.fit_tfidf(docs, grams, 5000, min_df=2, sublinear=True)
+    return model.long(docs, grams, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @case("txt_08_one_hot", """WITH k AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS slot FROM (SELECT DISTINCT lang FROM documents WHERE lang <> 'es'))
@@ -188,5 +187,9 @@ def txt_10(spark, sf):
     sinks.save_model(found.model, path)
     found = vectorise.SyntacticFeatures(sinks.load_model(path))
     names = F.from_json(F.lit(json.dumps(found.names)), "array<string>")
-    slots = found.transform(docs).select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    # Slots that a row does not hold add nothing; each slot has a row, if there are any.
+    held = found.transform(docs).select(F.unwrap_udt("features").alias("v"))
+    places = F.coalesce(F.col("v.indices"), F.sequence(F.lit(0), F.size("v.values") - 1))
+    entries = held.select(F.explode(F.arrays_zip(places.alias("slot"), F.col("v.values").alias("x"))).alias("e")).select("e.slot", "e.x")
+    slots = entries.unionByName(docs.limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(len(found.names) - 1))).alias("slot"), F.lit(0.0).alias("x")))
     return slots.groupBy("slot").agg(F.sum(F.round(1_000_000 * F.col("x")).cast("bigint")).alias("total")).select(F.get(names, F.col("slot")).alias("slot"), "total")
