@@ -150,3 +150,15 @@ def test_texts_are_worked_on_in_small_pieces(monkeypatch):
     for piece in arrays.slices(iter([batch]), "text", jaccard.TEXT_BYTES):
         jaccard.shingles(*arrays.text_bytes(piece.column(0)))
     assert sum(table.nbytes for table in arrays._POWERS.values()) <= 4 * 8 * jaccard.TEXT_BYTES
+
+
+def test_lengths_are_counted_over_all_documents(documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "HELD", 50)
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["a b c d e", "f g h i j k l", "m n o p q", f"x{i} y z u v"]) for _ in range(4))) for i in range(300)] + [(None, "a b c d e")]
+    lists = Counter(s for i, t in rows if i is not None for s in shingle_set(t))
+    table, want = jaccard.list_lengths(documents(rows)), np.zeros(1 << jaccard.LENGTH_BITS, np.uint8)
+    for s, n in lists.items():
+        place = int(jaccard.shingles(*arrays.text_bytes(pa.array([" ".join(s)])))[0][0]) >> 64 - jaccard.LENGTH_BITS
+        want[place] = max(want[place], round(8 * np.log2(n)))
+    assert want.max() >= 50 and np.array_equal(table, want)
