@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import normalise as n
 from riskloom.operators import dedup, vectorise
 from riskloom.plans.prepare import clean_corpus, clean_table
-from riskloom.sources import files, health, nested, tables, text_lines
+from riskloom.sources import files, health, nested, sinks, tables, text_lines
 
 
 @pytest.fixture()
@@ -193,3 +193,16 @@ def test_vocabulary_is_exact_however_few_buckets_come_first(spark, monkeypatch,
         rows = vectorise.vocabulary(df, "g", int(size), low, high).collect()
         assert [(r.term, r.total_count, r.doc_count) for r in rows] == [(t, totals[t], spread[t]) for t in expected]
     assert vectorise.vocabulary(df.limit(0), "g", 5).collect() == []
+
+
+def test_a_file_for_each_row(spark, folder):
+    rows = [("one",), ("two\nlines",), ("",), (None,), ("é€𝄞",), ("one",)]
+    for root in (str(folder / "a b"), f"file://{folder}/c"):
+        sinks.write_each(spark.createDataFrame(rows, "t string").repartition(3), "t", root)
+        below = Path(root.removeprefix("file://"))
+        found = sorted(f.read_text() for f in below.rglob("*.txt"))
+        assert found == sorted(f"{t or ''}\n" for t, in rows)
+        assert not [f for f in below.rglob("*") if f.name.startswith("_") or f.name.endswith(".crc")]
+        assert sorted(r.raw_code for r in files.source_tree(spark, root, (".txt",)).collect()) == sorted(f"{t}\n" for t, in rows if t)
+    sinks.write_each(spark.createDataFrame([], "t string"), "t", str(folder / "none"))
+    assert files.source_tree(spark, str(folder / "none"), (".txt",)).collect() == []
