@@ -86,10 +86,9 @@ SELECT 'char' AS kind, n, CAST(count(*) AS BIGINT) AS grams, CAST(count(DISTINCT
 UNION ALL SELECT 'boundary', n, CAST(count(*) AS BIGINT), CAST(count(DISTINCT g) AS BIGINT), min(g), max(g) FROM inner_grams GROUP BY n""")
 def txt_04(spark, sf):
     docs = _docs(spark, sf)
-    text = F.col("text")
     parts = []
-    for kind, grams in (("char", vectorise.char_ngrams(text, 3, 6)), ("boundary", vectorise.boundary_ngrams(text, 3, 5))):
-        counted = vectorise.term_statistics(docs.withColumn("g", grams), "g")
+    for kind, grams in (("char", vectorise.char_ngrams("text", 3, 6)), ("boundary", vectorise.boundary_ngrams("text", 3, 5))):
+        counted = vectorise.term_statistics(docs, grams)
         parts.append(counted.groupBy(F.lit(kind).alias("kind"), F.length("term").alias("n")).agg(
             F.sum("total_count").alias("grams"), F.count(F.lit(1)).alias("distinct_grams"), F.min("term").alias("lowest"), F.max("term").alias("highest")))
     return parts[0].unionByName(parts[1])

@@ -78,3 +78,24 @@ def test_structure_counts_are_those_of_the_patterns(spark):
     code = F.col("t")
     pairs = df.select(features.call_count(code).alias("a"), count(code, fixed.CALL_PATTERN).alias("b"), features.nonblank_runs(code).alias("c"), count(code, rf"[^{fixed.SPACE}]+").alias("d"))
     assert all((r.a, r.c) == (r.b, r.d) for r in pairs.collect())
+
+
+@pytest.mark.parametrize("size", [1, 60, 1 << 22])
+@pytest.mark.parametrize("wide", [False, True])
+def test_character_ngrams_are_those_of_the_columns(spark, monkeypatch, size, wide):
+    monkeypatch.setattr(grams, "CHAR_BYTES", size)
+    many = "".join(map(chr, range(0x4E00, 0x4E00 + 3000))) * 2 if wide else ""
+    odd = [*ODD, "a  b\n\nc \n d", "  x  y　 z ", "a", "I", "\n", "  ", "q\x85\x85r s", "\U0001d7d8", f"{many} {many[5:50]}"]
+    df = spark.createDataFrame([(t,) for t in odd * 2], "t string").coalesce(2)
+    for make, spans in ((vectorise.char_ngrams, [(3, 6), (1, 2)]), (vectorise.boundary_ngrams, [(3, 5), (2, 2), (4, 6), (5, 5)])):
+        for low, high in spans:
+            found = [r.g or [] for r in df.select(make(F.col("t"), low, high).alias("g")).collect()]
+            totals, spread = Counter(g for d in found for g in d), Counter(g for d in found for g in set(d))
+            got = vectorise.term_statistics(df, make("t", low, high)).collect()
+            assert {r.term: (r.total_count, r.doc_count) for r in got} == {g: (totals[g], spread[g]) for g in totals} and len(got) == len(totals)
+            assert vectorise.term_statistics(df.limit(0), make("t", low, high)).collect() == []
+
+
+def test_character_ngrams_make_no_string_for_each(spark, sf):
+    plan = text.txt_04(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [p for p in ("regexp_extract", "substring", "flatten", "Generate") if p in plan]
